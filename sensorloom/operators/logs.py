@@ -89,8 +89,12 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         return by_family
 
     out = found.select("*", *[value(n).alias(n) for n in NUMBERS])
-    # -1 stands for an unknown lag.
-    return out.withColumn("lag", F.greatest("lag", F.lit(0)))
+    # Numbers a family always has, even when the line leaves them out; -1 is an unknown lag.
+    for number, family in (("errors", "producer"), ("null_aqi", "producer"), ("lag", "standard_consumer"),
+                           ("dlq_sent", "dlq_router")):
+        out = out.withColumn(number, F.when(F.col("family") == family, F.coalesce(number, F.lit(0)))
+                             .otherwise(F.col(number)))
+    return out.withColumn("lag", F.when(F.col("lag").isNotNull(), F.greatest("lag", F.lit(0))))
 
 
 def log_metrics(lines: DataFrame, key: str = "process", order: list[str] | None = None,

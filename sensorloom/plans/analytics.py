@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sensorloom.functions.values import round_half_up
 from sensorloom.adapters import check_views, dimension, events, shape
 from sensorloom.operators import filters, logs, quality, rollups, sequence, serving
 from sensorloom.plans.registry import query, rounded
@@ -330,7 +331,7 @@ objects AS (SELECT *, json_valid(value) AND coalesce(json_type(CASE WHEN json_va
             AS ok FROM envelope),
 validated AS (
   SELECT topic, partition, offset, timestamp, raw AS value,
-         CASE WHEN ok THEN list_filter(CASE {_LISTS} END, x -> x IS NOT NULL) ELSE ['JSON_PARSE_ERROR'] END AS errors
+         CASE WHEN ok THEN list_filter(CASE {_LISTS} END, lambda x: x IS NOT NULL) ELSE ['JSON_PARSE_ERROR'] END AS errors
   FROM (SELECT * EXCLUDE (value), value AS raw, CASE WHEN ok THEN value ELSE '{{}}' END AS value FROM objects) o),
 dead AS (SELECT topic AS source_topic, partition AS source_partition, offset AS source_offset, timestamp AS dlq_timestamp,
                 value AS original_message, len(errors) AS error_count, errors, errors[1] AS error_reason
@@ -408,11 +409,14 @@ r AS (SELECT error_reason AS name, count(*) AS n, count(*) * 100.0 / (SELECT cou
              row_number() OVER (ORDER BY count(*) DESC, error_reason) AS i FROM dead GROUP BY error_reason),
 s AS (SELECT source_topic AS name, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM dead) AS pct,
              row_number() OVER (ORDER BY count(*) DESC, source_topic) AS i FROM dead GROUP BY source_topic)
-SELECT 1 AS section, CAST(i + 100 AS INTEGER) AS position,
-       rtrim(format('  {:<30s} {:>8,d} {:>10.1f}%  ', name, n, round(CAST(pct AS DECIMAL(38, 9)), 2)::DOUBLE)
-         || repeat('█', CAST(floor(round(CAST(pct AS DECIMAL(38, 9)), 2) / 2) AS INTEGER))) AS line FROM r
-UNION ALL SELECT 2, CAST(i + 100 AS INTEGER),
-       format('  {:<35s} {:>8,d} {:>10.1f}%', name, n, round(CAST(pct AS DECIMAL(38, 9)), 2)::DOUBLE) FROM s""")
+SELECT 1 AS section, CAST(i + 100 AS INTEGER) AS position, rtrim(concat('  ', rpad(name, 30, ' '), ' ',
+         lpad(format('{:,}', n), 8, ' '), ' ', lpad(format('{:.1f}', p), 10, ' '), '%  ',
+         repeat('█', CAST(floor(p / 2) AS INTEGER)))) AS line
+FROM (SELECT *, CAST(round(CAST(pct AS DECIMAL(38, 9)), 2) AS DOUBLE) AS p FROM r) r2
+UNION ALL
+SELECT 2, CAST(i + 100 AS INTEGER), concat('  ', rpad(name, 35, ' '), ' ', lpad(format('{:,}', n), 8, ' '), ' ',
+         lpad(format('{:.1f}', p), 10, ' '), '%')
+FROM (SELECT *, CAST(round(CAST(pct AS DECIMAL(38, 9)), 2) AS DOUBLE) AS p FROM s) s2""")
 def dlq_report_lines(spark, sf):
     """The counted lines of the report; the samples and fixed lines are tested apart."""
     lines = quality.report_lines(dead(spark, sf))
@@ -461,7 +465,7 @@ merged AS (SELECT {_IST.format('window_start')} AS window_start, {_IST.format('w
 def _rounded_view(df):
     return df.select(
         "window_start", "window_end", "ward_id", "date",
-        *[F.round(c, 4).alias(c) for c in ("total_kwh_consumed", "avg_power_factor", "peak_voltage")],
+        *[round_half_up(c, 4).alias(c) for c in ("total_kwh_consumed", "avg_power_factor", "peak_voltage")],
         "source_layer",
     )
 
@@ -506,8 +510,9 @@ run AS (
          coalesce(last_value(own_rate IGNORE NULLS) OVER w, 0) AS rt FROM own
   WINDOW w AS (PARTITION BY process ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
 SELECT process, event_id, tot AS total, rt AS rate,
-       CASE WHEN form = 0 THEN k % 7 END AS errors, CASE WHEN form = 1 THEN k % 11 END AS null_aqi,
-       CASE form WHEN 2 THEN greatest(k - 1, 0) WHEN 4 THEN b END AS lag,
+       CASE WHEN form = 0 THEN k % 7 WHEN form IN (1, 11) THEN 0 END AS errors,
+       CASE WHEN form = 1 THEN k % 11 WHEN form IN (0, 11) THEN 0 END AS null_aqi,
+       CASE form WHEN 2 THEN greatest(k - 1, 0) WHEN 3 THEN 0 WHEN 4 THEN b END AS lag,
        CASE WHEN form = 5 THEN k END AS invalid, CASE WHEN form = 5 THEN k END AS dlq_sent,
        CASE WHEN form = 7 THEN k END AS enriched, CASE WHEN form = 7 THEN k % 5 END AS unenriched,
        CASE WHEN form = 9 THEN k END AS stage, CASE WHEN form = 9 THEN k % 4 + 2 END AS tasks,

@@ -118,11 +118,11 @@ fold AS (
   SELECT route, ts, id, pair, len, list_append(resets, {'p': pair, 't': again}) FROM (
     SELECT c.route, c.ts, c.id, c.pair, c.again, f.resets,
            epoch_ms(c.ts) - greatest(epoch_ms(c.since),
-             coalesce(list_max(list_transform(list_filter(f.resets, x -> x.p = c.pair), x -> epoch_ms(x.t))), 0)) AS len,
+             coalesce(list_max(list_transform(list_filter(f.resets, lambda x: x.p = c.pair), lambda x: epoch_ms(x.t))), 0)) AS len,
            row_number() OVER (PARTITION BY c.route ORDER BY c.ts, c.id, c.pair) AS i
     FROM fold f JOIN cand c ON c.route = f.route AND c.ts > f.last_ts + INTERVAL 1 DAY
      AND epoch_ms(c.ts) - greatest(epoch_ms(c.since),
-             coalesce(list_max(list_transform(list_filter(f.resets, x -> x.p = c.pair), x -> epoch_ms(x.t))), 0)) > 300000
+             coalesce(list_max(list_transform(list_filter(f.resets, lambda x: x.p = c.pair), lambda x: epoch_ms(x.t))), 0)) > 300000
   ) t WHERE i = 1),
 bunched AS (SELECT f.route, f.id, f.last_ts, n.bus_id_1, n.bus_id_2, n.d, f.len FROM fold f
             JOIN near n ON n.route = f.route AND n.id = f.id AND n.pair = f.pair)"""

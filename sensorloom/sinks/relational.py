@@ -27,9 +27,9 @@ def project(envelope: DataFrame, stream: str, ingest_time: Column | None = None)
     _, columns = schemas.RELATIONAL[stream]
     wire = schemas.WIRE.get(stream, _INCIDENT_WIRE)
     body = F.from_json("value", T.StructType.fromDDL(wire))
-    rows = envelope.where(F.col("topic") == stream).select(body.alias("d"), F.col("value")).where(
-        F.col("d").isNotNull() & F.try_parse_json("value").isNotNull()
-    ).select("d.*")
+    # Keys are null for text that is not a JSON object.
+    readable = F.json_object_keys("value").isNotNull()
+    rows = envelope.where((F.col("topic") == stream) & readable).select(body.alias("d")).select("d.*")
     now = F.current_timestamp() if ingest_time is None else ingest_time
     text = F.nullif("timestamp", F.lit(""))
     if stream == "incidents":
