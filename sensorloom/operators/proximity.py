@@ -155,16 +155,16 @@ def _bunching(duration_us: int, pause_us: int, columns: list[str]):
                 p, now = pairs[i], int(t[i])
                 if p in waiting and waiting.pop(p) == episode[i]:
                     # First meeting after the pair's alert: its clock starts again here.
-                    restarted[p] = now
+                    restarted[p] = (episode[i], now)
                 if last is not None and now - last <= pause_us:
                     continue
-                length = now - max(int(since[i]), restarted.get(p, -(1 << 62)))
+                began, start = restarted.get(p, (None, None))
+                length = now - (start if began == episode[i] else int(since[i]))
                 if length > duration_us:
                     hits.append(i)
                     lengths.append(length)
                     last = now
                     waiting[p] = episode[i]
-                    restarted = {q: r for q, r in restarted.items() if now - r <= duration_us}
             if hits:
                 out = part.select(columns).take(pa.array(hits))
                 yield pa.RecordBatch.from_arrays(
