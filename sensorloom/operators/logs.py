@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.values import round_half_up, safe_ratio
 from sensorloom.operators.sequence import DEFAULT_SLICE
+from sensorloom.sources.staging import materialize
 from sensorloom.operators.slices import SLICE, add_slice, running_last, slice_prefix
 
 # Line families in matching order, each as the pattern that identifies the line and
@@ -78,7 +79,8 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     for name, (pattern, _) in FAMILIES.items():
         hit = text.rlike(pattern)
         family = F.when(hit, F.lit(name)) if family is None else family.when(hit, F.lit(name))
-    found = lines.withColumn("family", family).where(F.col("family").isNotNull())
+    # One-element explode: the condition stays above it, so the patterns are matched once.
+    found = lines.select("*", F.explode(F.array(family)).alias("family")).where(F.col("family").isNotNull())
 
     def value(number: str) -> Column:
         by_family = None
@@ -105,9 +107,9 @@ def log_metrics(lines: DataFrame, key: str = "process", order: list[str] | None
     total. Both look back without bound, so they run over time slices.
     """
     order = order or [ts]
-    parsed = add_slice(parse_lines(lines), ts, slice_width).withColumn(
-        "_one", (F.col("family") == "incident").cast("bigint")
-    )
+    # The patterns are the cost, and the numbers are read several times below.
+    numbers = materialize(parse_lines(lines).select(key, *dict.fromkeys([ts, *order]), "family", *NUMBERS))
+    parsed = add_slice(numbers, ts, slice_width).withColumn("_one", (F.col("family") == "incident").cast("bigint"))
     by_slice = parsed.groupBy(key, SLICE).agg(F.sum("_one").alias("_ones"))
     earlier = slice_prefix(by_slice, [key], {"_ones": "_before"})
     w = Window.partitionBy(key, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

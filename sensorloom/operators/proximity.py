@@ -28,7 +28,8 @@ from sensorloom.functions.values import pair_key, round_half_up
 from sensorloom.operators.cooldown import grouped
 from sensorloom.operators.incidents import incident_id
 from sensorloom.operators.sequence import DEFAULT_SLICE
-from sensorloom.operators.slices import CARRY, SLICE, add_slice, carry_rows, ordering, running_last, slice_prefix
+from sensorloom.operators.slices import SLICE, add_slice, ordering, running_number
+from sensorloom.sources.staging import materialize
 
 METRES_PER_DEGREE = math.pi * EARTH_RADIUS_M / 180.0
 # Above the arc-versus-chord difference for any cell this module makes.
@@ -56,18 +57,22 @@ def positions(df: DataFrame, route: str = "route_id", bus: str = "bus_id", ts: s
         F.coalesce(F.col(route), F.lit("unknown")).alias("route"), F.col(bus).alias("bus"),
         F.col(ts).alias("ts"), F.col(tiebreak).alias("id"), F.col(lat).alias("lat"), F.col(lon).alias("lon"),
     )
+    keys, order = ["route", "bus"], ["ts", "id"]
     sliced = add_slice(rows, "ts", slice_width)
-    counts = sliced.groupBy("route", "bus", SLICE).agg(F.count("*").alias("_rows"))
-    offsets = slice_prefix(counts, ["route", "bus"], {"_rows": "_offset"})
-    order = ["ts", "id"]
-    ahead = carry_rows(sliced, ["route", "bus"], order, 1, reverse=True)
-    w = Window.partitionBy("route", "bus", SLICE).orderBy(*ordering(order))
-    # The carried row is the first one of a later slice: it sorts last and shifts no number.
-    numbered = ahead.withColumn("next", F.lead(F.struct("ts", "id")).over(w)).withColumn(
-        "_n", F.row_number().over(w)
-    ).where(~F.col(CARRY))
-    return numbered.join(offsets, ["route", "bus", SLICE]).select(
-        *rows.columns, "next", (F.col("_n") + F.col("_offset")).alias("n")
+    # One row per (bus, slice) carries what the slice needs from the others.
+    summary = sliced.groupBy(*keys, SLICE).agg(
+        F.count("*").alias("_rows"), F.min(F.struct(*order)).alias("_first")
+    )
+    by_bus = Window.partitionBy(*keys).orderBy(SLICE)
+    around = summary.select(
+        *keys, SLICE, F.lead("_first").over(by_bus).alias("_next_first"),
+        F.coalesce(F.sum("_rows").over(by_bus.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+    )
+    w = Window.partitionBy(*keys, SLICE).orderBy(*ordering(order))
+    return sliced.join(around, [*keys, SLICE]).select(
+        *rows.columns,
+        F.coalesce(F.lead(F.struct(*order)).over(w), F.col("_next_first")).alias("next"),
+        (F.row_number().over(w) + F.col("_offset")).alias("n"),
     )
 
 
@@ -83,7 +88,9 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
     known = positions(df, slice_width=slice_width, **columns)
     width = micros(join_slice)
     band = _band(F.col("lat"), distance)
-    last = known.groupBy("route").agg(F.max(slice_number("ts", width)).alias("_end"))
+    last = df.groupBy(F.coalesce(F.col(columns.get("route", "route_id")), F.lit("unknown")).alias("route")).agg(
+        F.max(slice_number(columns.get("ts", "ts"), width)).alias("_end")
+    )
     first_slice = slice_number("ts", width)
     until = F.coalesce(slice_number("next.ts", width), F.col("_end"))
     if ttl is not None:
@@ -121,20 +128,22 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
     )
 
 
-def together_since(near: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFrame:
-    """Add `since` and `episode`: when the pair came together without having been apart since, and
-    the step at which it did."""
-    keys, order = ["route", "pair"], ["step"]
-    sliced = add_slice(near, "ts", slice_width)
-    carried = carry_rows(sliced, keys, order, 1)
-    w = Window.partitionBy(*keys, SLICE).orderBy(*ordering(order))
-    before = F.lag("step").over(w)
-    begun = carried.withColumn(
-        "_begin",
-        F.when(before.isNull() | (F.col("step") - before != 1), F.struct("ts", F.col("step").alias("episode"))),
-    ).where(~F.col(CARRY)).drop(CARRY)
-    return running_last(begun, keys, order, {"_begin": "_b"}).select(
-        *near.columns, F.col("_b.ts").alias("since"), F.col("_b.episode").alias("episode")
+def long_meetings(near: DataFrame, duration_us: int, slice_width: str = DEFAULT_SLICE) -> DataFrame:
+    """Near observations that lie more than the duration after their pair came together.
+
+    Adds `since` and `episode`. Within an unbroken meeting `step` grows by one per observation, so
+    step minus position is constant there: it names the meeting. Meetings shorter than the
+    duration drop out in the join.
+    """
+    keys = ["route", "pair"]
+    numbered = running_number(add_slice(near, "ts", slice_width), keys, ["step"], "_position").withColumn(
+        "episode", F.col("step") - F.col("_position")
+    ).drop("_position", SLICE)
+    meetings = numbered.groupBy(*keys, "episode").agg(
+        F.min("ts").alias("since"), F.max("ts").alias("_until")
+    ).where(F.unix_micros("_until") - F.unix_micros("since") > duration_us).drop("_until")
+    return numbered.join(meetings, [*keys, "episode"]).where(
+        F.unix_micros("ts") - F.unix_micros("since") > duration_us
     )
 
 
@@ -183,9 +192,9 @@ def bunching_alerts(near: DataFrame, duration: str = "300 seconds", pause: str =
     restarts its pair's clock. Only observations past the duration reach the fold over a route.
     """
     d, c = micros(duration), micros(pause)
-    past = together_since(near, slice_width).withColumn("_us", F.unix_micros("ts")).withColumn(
+    past = long_meetings(materialize(near), d, slice_width).withColumn("_us", F.unix_micros("ts")).withColumn(
         "_since", F.unix_micros("since")
-    ).where(F.col("_us") - F.col("_since") > d)
+    )
     columns = near.columns
     out = T.StructType([*[near.schema[c_] for c_ in columns], T.StructField("_length", T.LongType())])
     ordered = past.repartition("route").sortWithinPartitions("route", "_us", "id", "pair")
