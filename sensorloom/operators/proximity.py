@@ -113,7 +113,9 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
     if ttl is not None:
         holds = holds & (F.unix_micros("u.ts") - F.unix_micros("p.ts") <= F.lit(micros(ttl)))
     metres = haversine("u.lat", "u.lon", "p.lat", "p.lon")
-    met = looks.join(held, ["route", "_s", "_band", "_strip"]).where(
+    # Both sides grow with the data, and size estimates do not see the copies made above; a sorted
+    # merge spills and lets adaptive execution split a crowded cell.
+    met = looks.join(held.hint("merge"), ["route", "_s", "_band", "_strip"]).where(
         (F.col("u.bus") != F.col("p.bus")) & holds & (metres < distance)
     )
     u_first = F.col("u.bus") < F.col("p.bus")
