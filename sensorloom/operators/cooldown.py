@@ -5,8 +5,8 @@ not a window frame. A fold in one task per key would put a hot key's rows throug
 is therefore cut into slices of many cooldowns, and the fold runs in three steps:
 
 1. Per (key, slice): which last alert the slice ends with, for every alert it could begin with.
-   Only rows in the first c of a slice can be its first alert whatever happened before, and
-   beginnings with the same ending are one line, so a slice yields a short table.
+   Whatever happened before, only a row within c of the slice's first row, or the next one after,
+   can be its first alert; beginnings with the same ending are one line, so the table is short.
 2. Per key: walk those tables in slice order, which gives the alert that precedes each slice.
 3. Per (key, slice): emit the alerts, starting from that alert.
 
@@ -60,10 +60,9 @@ def grouped(batches: Iterator[pa.RecordBatch], columns: list[str]):
             previous = key
 
 
-def _slice_tables(keys: list[str], cooldown: int, width: int):
-    """Step 1. Emits (keys, slice, entry, exit): beginning at `entry` or at an earlier row not
-    listed separately, the slice's last alert is `exit`."""
-    group = [*keys, SLICE]
+def exit_tables(group: list[str], cooldown: int):
+    """Step 1. Emits (group, entry, exit): beginning at `entry` or at an earlier row not listed
+    separately, the group's last alert is `exit`."""
 
     def flush(key, state, out):
         entries, origin, last = state
@@ -73,7 +72,7 @@ def _slice_tables(keys: list[str], cooldown: int, width: int):
             out.append((*key, int(e), int(x)))
 
     def run(batches):
-        state, current, out, schema = None, None, [], None
+        state, current, out, schema, horizon = None, None, [], None, 0
         for new, key, part in grouped(batches, group):
             if schema is None:
                 schema = pa.schema([*[part.schema.field(c) for c in group],
@@ -83,41 +82,40 @@ def _slice_tables(keys: list[str], cooldown: int, width: int):
                     flush(current, state, out)
                 state, current = None, key
                 if len(out) >= 50_000:
-                    yield _rows(out, schema)
+                    yield record_batch(out, schema)
                     out = []
             t = np.unique(part.column(_US).to_numpy())
-            state = _advance(state, t, key[-1] * width, cooldown)
+            if new:
+                horizon = int(t[0]) + cooldown
+            state = _advance(state, t, horizon, cooldown)
         if state is not None:
             flush(current, state, out)
         if out:
-            yield _rows(out, schema)
+            yield record_batch(out, schema)
 
     return run
 
 
-def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
     )
 
 
-def _advance(state, t: np.ndarray, slice_start: int, cooldown: int):
+def _advance(state, t: np.ndarray, horizon: int, cooldown: int):
     """Follow every possible beginning through the sorted distinct times `t`.
 
     State: the beginnings, for each the index of the course it has joined, and each course's last
-    alert. Courses that alert on the same row are one from then on.
+    alert. Courses that alert on the same row are one from then on. The last possible beginning is
+    the first row past the horizon: an earlier alert holds back no later row.
     """
     if state is None:
         entries, origin, last = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        opened = False
     else:
         entries, origin, last = state
-        opened = bool(len(entries)) and entries[-1] >= slice_start + cooldown
-    if not opened:
-        # Up to and including the first row a full cooldown after the slice's start.
-        stop = np.searchsorted(t, slice_start + cooldown, side="left") + 1
-        fresh = t[:stop]
+    if not len(entries) or entries[-1] <= horizon:
+        fresh = t[:np.searchsorted(t, horizon, side="right") + 1]
         if len(entries):
             fresh = fresh[fresh > entries[-1]]
         origin = np.concatenate([origin, len(last) + np.arange(len(fresh))])
@@ -150,7 +148,7 @@ def _walk(keys: list[str], cooldown: int):
                 if last is not None:
                     out.append((*key, last))
                     if len(out) >= 50_000:
-                        yield _rows(out, schema)
+                        yield record_batch(out, schema)
                         out = []
             if not done:
                 entry = part.column("entry").to_numpy()
@@ -158,24 +156,33 @@ def _walk(keys: list[str], cooldown: int):
                 if i < len(entry):
                     last, done = int(part.column("exit")[i].as_py()), True
         if out:
-            yield _rows(out, schema)
+            yield record_batch(out, schema)
 
     return run
 
 
-def _emit(group: list[str], cooldown: int, columns: list[str]):
-    """Step 3. A group starts with its carried row, if it has one."""
+def emit_alerts(group: list[str], cooldown: int, columns: list[str], ruled: bool = False):
+    """Step 3. A group starts with its carried row, if it has one.
+
+    With `ruled`, a group may go on with one row that an earlier step has ruled on: flagged
+    `_ruled`, it alerts if the carried row says so (`_alerts`), and never otherwise.
+    """
 
     def run(batches):
-        last = None
+        last, verdict = None, False
         for new, _, part in grouped(batches, group):
             if new:
-                last = None
-            t = part.column(_US).to_numpy()
-            i = 0
+                last, verdict = None, False
+            t = part.column(_US).to_numpy(zero_copy_only=False)
+            i, hits = 0, []
             if part.column(_CARRY)[0].as_py():
-                last, i = int(t[0]), 1
-            hits = []
+                last = part.column(_US)[0].as_py()
+                verdict = ruled and part.column("_alerts")[0].as_py()
+                i = 1
+            if ruled and i < len(t) and part.column("_ruled")[i].as_py():
+                if verdict:
+                    hits.append(i)
+                i += 1
             while i < len(t):
                 if last is not None:
                     i += int(np.searchsorted(t[i:], last + cooldown, side="right"))
@@ -215,7 +222,7 @@ def cooldown(df: DataFrame, keys: list[str], ts: str, pause: str, tiebreak: list
         )
         tables = (
             rows.select(*group, _US).repartition(*group).sortWithinPartitions(*group, _US)
-            .mapInArrow(_slice_tables(keys, c, width), table_type)
+            .mapInArrow(exit_tables(group, c), table_type)
         )
         carry_type = T.StructType([rows.schema[k] for k in group] + [T.StructField(_US, T.LongType())])
         carried = (
@@ -228,4 +235,4 @@ def cooldown(df: DataFrame, keys: list[str], ts: str, pause: str, tiebreak: list
     ordered = ready.repartition(*group).sortWithinPartitions(
         *group, F.col(_CARRY).desc(), _US, *tiebreak
     )
-    return ordered.mapInArrow(_emit(group, c, columns), df.schema)
+    return ordered.mapInArrow(emit_alerts(group, c, columns), df.schema)

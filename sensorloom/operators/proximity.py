@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 from sensorloom.functions.geo import EARTH_RADIUS_M, haversine
 from sensorloom.functions.times import micros, slice_number
 from sensorloom.functions.values import pair_key, round_half_up
-from sensorloom.operators.cooldown import grouped
+from sensorloom.operators.cooldown import SLICE_COOLDOWNS, emit_alerts, exit_tables, grouped, record_batch
 from sensorloom.operators.incidents import incident_id
 from sensorloom.operators.sequence import DEFAULT_SLICE
-from sensorloom.operators.slices import SLICE, add_slice, ordering, running_number
+from sensorloom.operators.slices import CARRY, SLICE, add_slice, neighbour_keys, ordering, running_number
 from sensorloom.sources.staging import materialize
 
 METRES_PER_DEGREE = math.pi * EARTH_RADIUS_M / 180.0
@@ -149,58 +149,137 @@ def long_meetings(near: DataFrame, duration_us: int, slice_width: str = DEFAULT_
     )
 
 
-def _bunching(duration_us: int, pause_us: int, columns: list[str]):
-    """Fold over one route's candidates in order; state is the last alert and the restarted clocks."""
+# A group of the split fold: a route, a slice of time, and within it the rows from one ruled row to
+# the next.
+_GROUP = ["route", SLICE, "_part"]
+
+
+def _rule(pause_us: int):
+    """Walk a route's groups in order and rule on the row that opens each.
+
+    Input per group: its opening row, if it has one (`_kind` 0), then its exit table (`_kind` 1).
+    Emits (group, last alert before the group's plain rows, whether the opening row alerts).
+    """
 
     def run(batches):
-        last, restarted, waiting = None, {}, {}
-        for new, _, part in grouped(batches, ["route"]):
+        out, schema, route, last, alerted = [], None, None, None, set()
+        verdict, open_group = False, None
+
+        def close():
+            if open_group is not None and (last_at_open is not None or verdict):
+                out.append((*open_group, last_at_open, verdict))
+
+        last_at_open, done = None, True
+        for new, key, part in grouped(batches, _GROUP):
+            if schema is None:
+                schema = pa.schema([*[part.schema.field(c) for c in _GROUP],
+                                    pa.field("_us", pa.int64()), pa.field("_alerts", pa.bool_())])
             if new:
-                last, restarted, waiting = None, {}, {}
-            t = part.column("_us").to_numpy()
-            since = part.column("_since").to_numpy()
-            episode = part.column("episode").to_numpy()
-            pairs = part.column("pair").to_pylist()
-            hits, lengths = [], []
-            for i in range(len(t)):
-                p, now = pairs[i], int(t[i])
-                if p in waiting and waiting.pop(p) == episode[i]:
-                    # First meeting after the pair's alert: its clock starts again here.
-                    restarted[p] = (episode[i], now)
-                if last is not None and now - last <= pause_us:
-                    continue
-                began, start = restarted.get(p, (None, None))
-                length = now - (start if began == episode[i] else int(since[i]))
-                if length > duration_us:
-                    hits.append(i)
-                    lengths.append(length)
-                    last = now
-                    waiting[p] = episode[i]
-            if hits:
-                out = part.select(columns).take(pa.array(hits))
-                yield pa.RecordBatch.from_arrays(
-                    [*out.columns, pa.array(np.array(lengths, dtype=np.int64))],
-                    names=[*columns, "_length"],
-                )
+                close()
+                if len(out) >= 50_000:
+                    yield record_batch(out, schema)
+                    out = []
+                if open_group is None or key[0] != route:
+                    route, last, alerted = key[0], None, set()
+                open_group, verdict, last_at_open, done = key, False, last, False
+            begin = 0
+            if part.column("_kind")[0].as_py() == 0:
+                row = {c: part.column(c)[0].as_py() for c in ("_us", "pair", "step", "_q_step")}
+                blocked = (row["pair"], row["_q_step"]) in alerted
+                if not blocked and (last is None or row["_us"] - last > pause_us):
+                    verdict, last = True, row["_us"]
+                    alerted.add((row["pair"], row["step"]))
+                last_at_open, begin = last, 1
+            if begin < part.num_rows and not done:
+                entry = part.column("entry").slice(begin).to_numpy(zero_copy_only=False)
+                k = 0 if last is None else int(np.searchsorted(entry, last + pause_us, side="right"))
+                if k < len(entry):
+                    last, done = int(part.column("exit")[begin + k].as_py()), True
+        close()
+        if out:
+            yield record_batch(out, schema)
 
     return run
 
 
 def bunching_alerts(near: DataFrame, duration: str = "300 seconds", pause: str = "600 seconds",
-                    slice_width: str = DEFAULT_SLICE) -> DataFrame:
-    """Near observations at which a bunching alert is raised.
+                    slice_width: str = DEFAULT_SLICE, route_slice: str = "auto") -> DataFrame:
+    """Near observations at which a bunching alert is raised, with `_length` of the meeting.
 
     A pair must have been together longer than `duration`; the pause is per route, and an alert
-    restarts its pair's clock. Only observations past the duration reach the fold over a route.
+    restarts its pair's clock. The restart matters to few rows. With the pause at least as long as
+    the duration, a row is held back by its pair's restarted clock, and not by the pause anyway,
+    only if the pair's last observation more than `duration` before it was the alert and lies more
+    than `pause` before it: the pair was seen together before and after a gap longer than pause
+    less duration. Rows after and before such gaps are ruled on one by one, in order; all others
+    obey the pause alone, and their fold is split over slices as in `cooldown`.
     """
     d, c = micros(duration), micros(pause)
-    past = long_meetings(materialize(near), d, slice_width).withColumn("_us", F.unix_micros("ts")).withColumn(
-        "_since", F.unix_micros("since")
-    )
+    if c < d:
+        raise ValueError("the pause must be at least as long as the duration")
+    width = c * SLICE_COOLDOWNS if route_slice == "auto" else micros(route_slice)
     columns = near.columns
-    out = T.StructType([*[near.schema[c_] for c_ in columns], T.StructField("_length", T.LongType())])
-    ordered = past.repartition("route").sortWithinPartitions("route", "_us", "id", "pair")
-    return ordered.mapInArrow(_bunching(d, c, columns), out)
+    near = materialize(near)
+    past = materialize(_with_gaps(long_meetings(near, d, slice_width), near, d, c, slice_width).withColumn(
+        SLICE, slice_number("ts", width)
+    ))
+    in_order = Window.partitionBy("route", SLICE).orderBy("_us", "id", "pair")
+    rows = past.withColumn(
+        "_part", F.count_if("_ruled").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    types = rows.schema
+    group_types = [types[g] for g in _GROUP]
+    longs = [T.StructField(n, T.LongType()) for n in ("entry", "exit")]
+    tables = rows.where(~F.col("_ruled")).select(*_GROUP, "_us").repartition(*_GROUP).sortWithinPartitions(
+        *_GROUP, "_us"
+    ).mapInArrow(exit_tables(_GROUP, c), T.StructType([*group_types, *longs]))
+    openings = rows.where("_ruled").select(*_GROUP, "_us", "pair", "step", "_q_step", F.lit(0).alias("_kind"))
+    steps = openings.unionByName(tables.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    verdicts = steps.repartition("route").sortWithinPartitions(*_GROUP, "_kind", "entry").mapInArrow(
+        _rule(c), T.StructType([*group_types, T.StructField("_us", T.LongType()), T.StructField("_alerts", T.BooleanType())])
+    )
+    ready = rows.withColumn("_carried", F.lit(False)).unionByName(
+        verdicts.withColumn("_carried", F.lit(True)), allowMissingColumns=True
+    )
+    kept = [*columns, "since", "episode", "_again"]
+    alerts = ready.repartition(*_GROUP).sortWithinPartitions(
+        *_GROUP, F.col("_carried").desc(), F.col("_ruled").desc(), "_us", "id", "pair"
+    ).mapInArrow(emit_alerts(_GROUP, c, kept, ruled=True), T.StructType([types[k] for k in kept]))
+    # The clock of a pair that has alerted before in the meeting runs from its next observation.
+    meeting = Window.partitionBy("route", "pair", "episode").orderBy("step")
+    started = F.coalesce(F.lag("_again").over(meeting), F.col("since"))
+    return alerts.select(*columns, (F.unix_micros("ts") - F.unix_micros(started)).alias("_length"))
+
+
+def _with_gaps(past: DataFrame, near: DataFrame, duration_us: int, pause_us: int, slice_width: str) -> DataFrame:
+    """Add `_us`, `_again` (time of the pair's next observation), `_q_step` and `_ruled` to `past`.
+
+    `_q_step` is the step of the pair's last observation more than the duration earlier. It is the
+    one before the first observation in the duration up to the row, so a row looks back only as
+    far as the duration; rows that close to the end of a slice are copied into the next.
+    """
+    keys, width = ["route", "pair"], micros(slice_width)
+    if duration_us > width:
+        raise ValueError("a slice must not be shorter than the duration")
+    places = neighbour_keys(
+        add_slice(near.select(*keys, "step", "ts"), "ts", slice_width), keys, ["step", "ts"]
+    ).withColumn("_us", F.unix_micros("ts"))
+    reach = F.pmod("_us", F.lit(width)) >= width - duration_us
+    copies = places.where(reach).withColumn(SLICE, F.col(SLICE) + 1).withColumn(CARRY, F.lit(True))
+    frame = Window.partitionBy(*keys, SLICE).orderBy("_us").rangeBetween(-duration_us, 0)
+    looked = places.withColumn(CARRY, F.lit(False)).unionByName(copies).withColumn(
+        "_opening", F.min(F.struct("step", "_prev")).over(frame)
+    ).where(~F.col(CARRY))
+    held_back = F.col("_us") - F.unix_micros("_opening._prev.ts") > pause_us
+    before_gap = (F.col("_next.step") == F.col("step") + 1) & (
+        F.unix_micros("_next.ts") - F.col("_us") > pause_us - duration_us
+    )
+    marks = looked.select(
+        *keys, "step", "_us", F.col("_next.ts").alias("_again"),
+        (F.col("_opening.step") - 1).alias("_q_step"),
+        F.coalesce(held_back | before_gap, F.lit(False)).alias("_ruled"),
+    )
+    return past.join(marks, [*keys, "step"])
 
 
 def bunching_alert_rows(alerts: DataFrame, distance: float, duration: str) -> DataFrame:

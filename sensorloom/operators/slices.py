@@ -99,3 +99,22 @@ def running_last(df: DataFrame, keys: list[str], order: list[str], columns: dict
         *[F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_left_{out}")).alias(out)
           for c, out in columns.items()],
     )
+
+
+def neighbour_keys(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Add `_prev` and `_next`: the order columns (as a struct) of the key's row before and after.
+
+    Needs the slice column. Rows at a slice border find theirs in a summary, one row per slice.
+    """
+    place = F.struct(*order)
+    ends = df.groupBy(*keys, SLICE).agg(F.min(place).alias("_lo"), F.max(place).alias("_hi"))
+    by_key = Window.partitionBy(*keys).orderBy(SLICE)
+    around = ends.select(
+        *keys, SLICE, F.lag("_hi").over(by_key).alias("_before"), F.lead("_lo").over(by_key).alias("_after")
+    )
+    w = Window.partitionBy(*keys, SLICE).orderBy(*ordering(order))
+    return df.join(around, [*keys, SLICE]).select(
+        *df.columns,
+        F.coalesce(F.lag(place).over(w), F.col("_before")).alias("_prev"),
+        F.coalesce(F.lead(place).over(w), F.col("_after")).alias("_next"),
+    )
