@@ -131,9 +131,9 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
 
 
 def long_meetings(near: DataFrame, duration_us: int, slice_width: str = DEFAULT_SLICE) -> DataFrame:
-    """Near observations that lie more than the duration after their pair came together.
+    """Near observations that belong to a meeting longer than the duration.
 
-    Adds `since` and `episode`. Within an unbroken meeting `step` grows by one per observation, so
+    Adds `since`, when the meeting began, and `episode`. Within an unbroken meeting `step` grows by one per observation, so
     step minus position is constant there: it names the meeting. Meetings shorter than the
     duration drop out in the join.
     """
@@ -144,9 +144,7 @@ def long_meetings(near: DataFrame, duration_us: int, slice_width: str = DEFAULT_
     meetings = numbered.groupBy(*keys, "episode").agg(
         F.min("ts").alias("since"), F.max("ts").alias("_until")
     ).where(F.unix_micros("_until") - F.unix_micros("since") > duration_us).drop("_until")
-    return numbered.join(meetings, [*keys, "episode"]).where(
-        F.unix_micros("ts") - F.unix_micros("since") > duration_us
-    )
+    return numbered.join(meetings, [*keys, "episode"])
 
 
 # A group of the split fold: a route, a slice of time, and within it the rows from one ruled row to
@@ -219,10 +217,8 @@ def bunching_alerts(near: DataFrame, duration: str = "300 seconds", pause: str =
         raise ValueError("the pause must be at least as long as the duration")
     width = c * SLICE_COOLDOWNS if route_slice == "auto" else micros(route_slice)
     columns = near.columns
-    near = materialize(near)
-    past = materialize(_with_gaps(long_meetings(near, d, slice_width), near, d, c, slice_width).withColumn(
-        SLICE, slice_number("ts", width)
-    ))
+    meetings = long_meetings(materialize(near), d, slice_width)
+    past = materialize(_with_gaps(meetings, d, c, slice_width).withColumn(SLICE, slice_number("ts", width)))
     in_order = Window.partitionBy("route", SLICE).orderBy("_us", "id", "pair")
     rows = past.withColumn(
         "_part", F.count_if("_ruled").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
@@ -251,35 +247,33 @@ def bunching_alerts(near: DataFrame, duration: str = "300 seconds", pause: str =
     return alerts.select(*columns, (F.unix_micros("ts") - F.unix_micros(started)).alias("_length"))
 
 
-def _with_gaps(past: DataFrame, near: DataFrame, duration_us: int, pause_us: int, slice_width: str) -> DataFrame:
-    """Add `_us`, `_again` (time of the pair's next observation), `_q_step` and `_ruled` to `past`.
+def _with_gaps(meetings: DataFrame, duration_us: int, pause_us: int, slice_width: str) -> DataFrame:
+    """Observations more than the duration into their meeting, with `_us`, `_again` (time of the
+    pair's next observation), `_q_step` and `_ruled`.
 
     `_q_step` is the step of the pair's last observation more than the duration earlier. It is the
     one before the first observation in the duration up to the row, so a row looks back only as
     far as the duration; rows that close to the end of a slice are copied into the next.
     """
-    keys, width = ["route", "pair"], micros(slice_width)
+    keys, width = ["route", "pair", "episode"], micros(slice_width)
     if duration_us > width:
         raise ValueError("a slice must not be shorter than the duration")
-    places = neighbour_keys(
-        add_slice(near.select(*keys, "step", "ts"), "ts", slice_width), keys, ["step", "ts"]
-    ).withColumn("_us", F.unix_micros("ts"))
+    places = neighbour_keys(add_slice(meetings, "ts", slice_width), keys, ["step", "ts"]).withColumn(
+        "_us", F.unix_micros("ts")
+    )
     reach = F.pmod("_us", F.lit(width)) >= width - duration_us
     copies = places.where(reach).withColumn(SLICE, F.col(SLICE) + 1).withColumn(CARRY, F.lit(True))
     frame = Window.partitionBy(*keys, SLICE).orderBy("_us").rangeBetween(-duration_us, 0)
     looked = places.withColumn(CARRY, F.lit(False)).unionByName(copies).withColumn(
         "_opening", F.min(F.struct("step", "_prev")).over(frame)
-    ).where(~F.col(CARRY))
+    ).where(~F.col(CARRY) & (F.col("_us") - F.unix_micros("since") > duration_us))
     held_back = F.col("_us") - F.unix_micros("_opening._prev.ts") > pause_us
-    before_gap = (F.col("_next.step") == F.col("step") + 1) & (
-        F.unix_micros("_next.ts") - F.col("_us") > pause_us - duration_us
-    )
-    marks = looked.select(
-        *keys, "step", "_us", F.col("_next.ts").alias("_again"),
+    before_gap = F.unix_micros("_next.ts") - F.col("_us") > pause_us - duration_us
+    return looked.select(
+        *meetings.columns, "_us", F.col("_next.ts").alias("_again"),
         (F.col("_opening.step") - 1).alias("_q_step"),
         F.coalesce(held_back | before_gap, F.lit(False)).alias("_ruled"),
     )
-    return past.join(marks, [*keys, "step"])
 
 
 def bunching_alert_rows(alerts: DataFrame, distance: float, duration: str) -> DataFrame:
