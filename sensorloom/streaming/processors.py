@@ -27,9 +27,6 @@ ORDERS = ("event_time", "arrival")
 class OrderedFold(StatefulProcessor):
     """Fold over the rows of one key in order."""
 
-    # Timers are set on multiples of this, so many rows share one.
-    TIMER_MS = 1000
-
     def __init__(self, schema: T.StructType, tiebreak: list[str], order: str = "event_time"):
         if order not in ORDERS:
             raise ValueError(f"order must be one of {ORDERS}")
@@ -55,6 +52,7 @@ class OrderedFold(StatefulProcessor):
         self.handle = handle
         if self.order == "event_time":
             self.waiting = handle.getListState("waiting", self.schema)
+            self.timer = handle.getValueState("timer", "ms LONG")
         self.open_state(handle)
 
     def close(self) -> None:
@@ -66,9 +64,14 @@ class OrderedFold(StatefulProcessor):
             yield from self._run(key, values)
             return
         self.waiting.appendList(values)
-        step = self.TIMER_MS
-        for due in {-(-v[self.us] // (step * 1000)) * step for v in values}:
+        self._wake_at(values, self.timer.get()[0] if self.timer.exists() else None)
+
+    def _wake_at(self, values: list[tuple], pending: int | None) -> None:
+        """Keep one timer per key, at its earliest waiting row."""
+        due = min(-(-v[self.us] // 1000) for v in values)
+        if pending is None or due < pending:
             self.handle.registerTimer(due)
+            self.timer.update((due,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
@@ -79,8 +82,10 @@ class OrderedFold(StatefulProcessor):
             return
         if later:
             self.waiting.put(later)
+            self._wake_at(later, None)
         else:
             self.waiting.clear()
+            self.timer.clear()
         yield from self._run(key, ready)
 
     def _run(self, key, values: list[tuple]) -> Iterator[Row]:
