@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from conftest import SF_SMALL
 from sensorloom import schemas
 from sensorloom.adapters import dimension, shape
-from sensorloom.operators import incidents, joins, proximity, quality, rollups
+from sensorloom.operators import incidents, proximity, quality, rollups
 from sensorloom.sources import topics
 from sensorloom.streaming import jobs, processors
 from sensorloom.streaming.progress import ProgressLog
