@@ -60,23 +60,25 @@ def text_or_empty(column: str | Column) -> Column:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: edges (a, b) of BIGINT -> (node, root), root the smallest node.
 
-    Alternating large and small stars. Every round is two aggregations and two joins over the edges; a
-    round's edges are staged, only their number and checksum reach the driver. Nodes without an edge are
+    Alternating large and small stars. Every round is two aggregations and two joins over the edges. What a join
+    reads is staged, so both its sides are exchanges and adaptive execution can split a crowded node; only the
+    number of edges and their checksum reach the driver. Nodes without an edge are
     not listed. An empty edge table gives an empty result.
     """
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _checksum(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = staged(large.where("a <> b").distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        discard(least)
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = staged(small.union(least.select("a", F.col("m").alias("b"))).distinct())
         before, state = state, _checksum(after)
-        discard(edges)
-        discard(large)
+        for old in (edges, large, least):
+            discard(old)
         edges = after
         if state == before:
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import free_name, numbered, own_columns, staged, text_or_empty
+from sensorloom.llm.common import discard, free_name, numbered, own_columns, staged, text_or_empty
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -24,25 +24,23 @@ def radix_classes(rows: DataFrame, first: int = 64, growth: int = 16) -> DataFra
     Round by round the surviving groups are split by their next bytes: 64 at first, then 16 times as many
     each round, so a text of n bytes takes about log16(n / 64) rounds. Rows alone in their group leave, and
     so do groups whose texts ended; the bytes themselves decide, no digest does. A round counts (group,
-    bytes) with a partial aggregation and joins the counts back to the rows: a large group is a skewed
-    join key, which adaptive execution splits, never one task's sort or window.
+    bytes) with a partial aggregation, stages the groups of two or more, and joins them back to the rows: a
+    large group is a skewed key of a join between two exchanges, which adaptive execution splits.
     """
     level = rows.select("row", "id", "chars", F.lit(0).cast("long").alias("grp"), F.col("data").alias("rest"))
-    width, ended, previous = first, [], None
+    width, ended = first, []
     while True:
         cut = level.withColumn("head", F.substring("rest", 1, width))
-        groups = cut.groupBy("grp", "head").agg(F.min("row").alias("next"), F.count("*").alias("n")).where("n > 1")
+        groups = staged(cut.groupBy("grp", "head").agg(F.min("row").alias("next"), F.count("*").alias("n")).where("n > 1").drop("n"))
+        if ended and groups.isEmpty():
+            break
         split = staged(
             cut.withColumn("rest", F.when(F.octet_length("head") == width, F.expr(f"substring(rest, {width + 1})")))
-            .join(groups.drop("n"), ["grp", "head"])
-            .select("row", "id", "chars", F.col("next").alias("grp"), "rest"))
-        if previous is not None:
-            ended.append(previous.where("rest IS NULL").select("row", "grp", "id", "chars"))
-        previous, level = split, split.where("rest IS NOT NULL")
+            .join(groups, ["grp", "head"]).select("row", "id", "chars", F.col("next").alias("grp"), "rest"))
+        discard(groups)
+        ended.append(split.where("rest IS NULL").select("row", "grp", "id", "chars"))
+        level = split.where("rest IS NOT NULL")
         width *= growth
-        if level.isEmpty():
-            ended.append(split.where("rest IS NULL").select("row", "grp", "id", "chars"))
-            break
     out = ended[0]
     for part in ended[1:]:
         out = out.union(part)
@@ -61,9 +59,9 @@ def exact_duplicates(rows: DataFrame, text: str = "text", doc_id: str = "doc_id"
         F.col(row).alias("row"), F.col(doc_id).alias("id"), F.length(text_or_empty(text)).alias("chars"),
         normalised(text).cast("binary").alias("data"))
     members = radix_classes(base)
-    best = members.groupBy("grp").agg(
+    best = staged(members.groupBy("grp").agg(
         F.min(F.struct((-F.col("chars")).alias("c"), F.col("id").isNull().alias("z"), "id", "row")).alias("best"),
-        F.count("*").alias("group_size"))
+        F.count("*").alias("group_size")))
     chosen = members.select("row", "grp").join(best, "grp").select(
         "row", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
     return base.select("row", "id", F.sha2("data", 256).alias("text_sha256")).join(chosen, "row", "left").select(

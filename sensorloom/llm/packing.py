@@ -29,7 +29,7 @@ class BlockTokenizer:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         starts = block_starts(data, offsets)
-        code, first = distinct_pieces(data, starts)
+        code, first, _ = distinct_pieces(data, starts)
         values, begins, sizes = flat([self.single(p) for p in piece_bytes(data, starts, first)])
         ids = take_ranges(values, begins[code], sizes[code]) if len(code) else values
         ends = np.append(0, np.cumsum(sizes[code]))[np.searchsorted(starts, offsets)]
@@ -97,7 +97,7 @@ def _cut(doc: np.ndarray, start: np.ndarray, length: np.ndarray, size: int):
     return (doc[of], start[of] + nth * size), (doc[rest], (start + whole * size)[rest], (length % size)[rest])
 
 
-def plan_windows(tokens: np.ndarray, capacity: int = 2048, grain: int = 128, slack: int = 2):
+def plan_windows(tokens: np.ndarray, capacity: int = 2048, grain: int = 128, slack: int = 3):
     """Pieces of documents of `tokens` ids each: (doc, start, length, sequence, offset), sorted, and the number of sequences.
 
     Whole windows of one document stand alone. Of the rest, a few ids (what exceeds a multiple of the
@@ -131,7 +131,7 @@ def plan_windows(tokens: np.ndarray, capacity: int = 2048, grain: int = 128, sla
             sequences += len(marks) - 1
         p_doc, p_start, p_len = p_doc[~tail], p_start[~tail], p_len[~tail]
         (g_doc, g_start), (o_doc, o_start, o_len) = _cut(p_doc, p_start, p_len, grain)
-        small = min(len(g_doc), max(8, k // 16))
+        small = min(len(g_doc), max(8, k // 8))
         fine = []
         step = grain
         while step > 1:
@@ -172,7 +172,7 @@ def plan_windows(tokens: np.ndarray, capacity: int = 2048, grain: int = 128, sla
 
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", capacity: int = 2048,
-         end_id: int = 1, block_tokens: int = 1 << 19) -> DataFrame:
+         end_id: int = 1, block_tokens: int = 1 << 20) -> DataFrame:
     """Pack all documents into sequences of at most `capacity` ids; one row per piece.
 
     (id, start, length, ids BINARY of little-endian unsigned 32-bit ids, doc_tokens, sequence_id, offset). Each

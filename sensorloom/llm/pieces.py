@@ -138,15 +138,15 @@ def _windows(starts: np.ndarray, n: int):
         a = b
 
 
-def distinct_pieces(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each piece among the distinct ones, and the index of each distinct piece's first occurrence.
+def distinct_pieces(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each piece among the distinct ones; of each distinct piece the index of its first occurrence and its hash.
 
     Pieces are told apart by a 64-bit hash and then compared with the first of their kind byte by byte; should
     two differ, the numbers come from a dictionary of the bytes.
     """
     n = len(data)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sizes = np.diff(np.append(starts, n))
     table = _spread(np.arange(int(sizes.max()) + 1) * 2)
     hashes = np.empty(len(starts), np.uint64)
@@ -171,7 +171,7 @@ def distinct_pieces(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
         code, uniques = pd.factorize(np.array([raw[a:a + s] for a, s in zip(starts.tolist(), sizes.tolist(), strict=True)], object))
         first = np.full(len(uniques), -1, np.int64)
         first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-    return code, first
+    return code, first, hashes[first]
 
 
 def piece_bytes(data: np.ndarray, starts: np.ndarray, which: np.ndarray) -> list[bytes]:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact_dedup, packing, simhash
+from sensorloom.llm import ann, bpe, exact_dedup, packing, pii, simhash, toxicity, warc
 from sensorloom.llm.common import numbered, table
+from sensorloom.sources.staging import staging_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -57,3 +59,63 @@ def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: fingerprints linked at two or fewer differing bits."""
     found = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query("op3_ann_one_bit", """
+    WITH fine AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+                  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+         pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score
+                   FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM pairs)
+    SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score FROM ranked WHERE nth <= 20""")
+def op3_ann_one_bit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest neighbours of every twentieth vector among all vectors."""
+    rows = ann.clean(table(spark, sf_dir, "embeddings"))
+    return ann.search(ann.build_index(rows), rows.where("id % 20 = 0"), k=20)
+
+
+@query("op4_bpe_distinct_words")
+def op4_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    return done.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_warc_segments", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+         r AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+                      list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+                          (CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> (15 - i % 4 * 5)) & 31) AS INTEGER), 1)),
+                          'string_agg', '') AS payload_digest,
+                      max(page_id) OVER (PARTITION BY html) AS last FROM p)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to, CAST(NULL AS VARCHAR) AS problem FROM r""")
+def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    path = f"{staging_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_index(spark, path).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"), "problem")
+
+
+@query("op5_toxicity_nnpu")
+def op5_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.score(model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op6_pii_bootstrap")
+def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans, and those that their contexts lead to."""
+    rows = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    report = pii.span_report(rows.select("row", "doc_id"), pii.personal_spans(rows))
+    return report.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans")

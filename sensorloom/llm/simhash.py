@@ -125,7 +125,7 @@ def simhash_groups(rows: DataFrame, text: str = "text", doc_id: str = "doc_id",
     roots = components(trie_links(codes.select("fp"), budget))
     placed = codes.join(roots, codes["fp"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "best")
-    smallest = placed.groupBy("root").agg(F.min("best").alias("best"))
+    smallest = staged(placed.groupBy("root").agg(F.min("best").alias("best")))
     of_code = placed.select("fp", "root").join(smallest, "root").select(
         "fp", F.col("best.id").alias("component_id"), F.col("best.row").alias("keep_row"))
     return prints.join(of_code, "fp").select("row", "id", "fp", "component_id", "keep_row")
