@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import ann, bpe, exact_dedup, packing, pii, simhash, toxicity, warc
+from sensorloom.llm import ann, bpe, chat_quotes, exact_dedup, packing, pii, simhash, substring, toxicity, warc
 from sensorloom.llm.common import numbered, table
 from sensorloom.sources.staging import staging_dir
 
@@ -119,3 +119,23 @@ def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
     report = pii.span_report(rows.select("row", "doc_id"), pii.personal_spans(rows))
     return report.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query("op9_compact_windows")
+def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that repeat across all documents."""
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op2_chat_quotes", """
+    WITH m AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS nth FROM conversations)
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS role,
+           lag(turn) OVER w AS reply_to, CASE WHEN nth > 0 THEN 'turn' END AS link, first_value(turn) OVER w AS thread,
+           CAST(nth AS INTEGER) AS depth, CAST(0 AS BIGINT) AS quotes, coalesce(text, '') AS content,
+           '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS chat
+    FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+    -- Holds while no text quotes another; what quoting does is tested against a plain program.
+""")
+def op2_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order without quoted passages."""
+    return chat_quotes.conversations(table(spark, sf_dir, "conversations"))
