@@ -30,6 +30,29 @@ def grow(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def shrink_codes(codes: np.ndarray) -> bytes:
+    """Word numbers by falling frequency: the bit length of each, entropy coded, then the bits below its first, as they are."""
+    value = codes.astype(np.int64) + 1
+    length = (np.frexp(value.astype(np.float64))[1] - 1).astype(np.uint8)
+    parts = [zstandard.ZstdCompressor(level=3).compress(length.tobytes())]
+    for n in range(1, int(length.max(initial=0)) + 1):
+        below = value[length == n] - (1 << n)
+        parts.append(np.packbits(((below[:, None] >> np.arange(n)) & 1).astype(np.uint8)).tobytes())
+    return len(codes).to_bytes(8, "little") + len(parts[0]).to_bytes(8, "little") + b"".join(parts)
+
+
+def grow_codes(data: bytes) -> np.ndarray:
+    count, size = (int.from_bytes(data[i:i + 8], "little") for i in (0, 8))
+    length = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[16:16 + size]) if count else b"", np.uint8)
+    value, at = np.left_shift(1, length.astype(np.int64)), 16 + size
+    for n in range(1, int(length.max(initial=0)) + 1):
+        chosen = np.flatnonzero(length == n)
+        bits = np.unpackbits(np.frombuffer(data, np.uint8, (len(chosen) * n + 7) // 8, at), count=len(chosen) * n)
+        value[chosen] += bits.reshape(-1, n).astype(np.int64) @ (1 << np.arange(n))
+        at += (len(chosen) * n + 7) // 8
+    return value - 1
+
+
 def _packets(block: int, keys: list, data: np.ndarray, offsets: np.ndarray, buckets: int):
     """The rows of a block: its distinct words by bucket with their numbers, and its documents as word numbers in order.
 
@@ -52,7 +75,7 @@ def _packets(block: int, keys: list, data: np.ndarray, offsets: np.ndarray, buck
                zstandard.ZstdCompressor(level=3).compress(b"".join(chosen)))
     ends = np.searchsorted(starts, offsets)
     for a, b in text_ranges(ends, 1 << 18):
-        yield block, -1, keys[a:b], shrink(np.diff(ends[a:b + 1])), None, shrink(code[ends[a]:ends[b]])
+        yield block, -1, keys[a:b], shrink(np.diff(ends[a:b + 1])), None, shrink_codes(code[ends[a]:ends[b]])
 
 
 def word_packets(docs: DataFrame, text: str, doc_id: str, buckets: int, block_bytes: int) -> DataFrame:
@@ -137,11 +160,11 @@ def reassemble(packets: DataFrame, encoded: DataFrame) -> DataFrame:
                     sizes[numbers_of] = sizes_of
                     table, held = (values, begins, sizes), []
                 values, begins, sizes = table
-                codes, per_doc = grow(payload), grow(counts)
+                codes, per_doc = grow_codes(payload), grow(counts)
                 ids = take_ranges(values, begins[codes], sizes[codes]).astype(np.int32)
                 through = np.append(0, np.cumsum(sizes[codes]))
                 offsets = through[np.append(0, np.cumsum(per_doc, dtype=np.int64))]
-                for a, b in text_ranges(offsets, 4 << 20):
+                for a, b in text_ranges(offsets, 1 << 20):
                     part = pa.ListArray.from_arrays(pa.array((offsets[a:b + 1] - offsets[a]).astype(np.int32)),
                                                     pa.array(ids[offsets[a]:offsets[b]]))
                     yield pa.RecordBatch.from_arrays([pa.array(keys[a:b], key_type), part], ["id", "ids"])
@@ -189,12 +212,13 @@ def decode(encoded: DataFrame, ranks: str, ids: str = "ids", into: str = "decode
             flat_ids = column.flatten().to_numpy(zero_copy_only=False)
             if len(flat_ids) and (flat_ids.min() < 0 or flat_ids.max() >= size or not sizes[flat_ids].all()):
                 raise ValueError("an id is not in the vocabulary")
-            raw = take_ranges(values, begins[flat_ids], sizes[flat_ids])
-            through = np.append(0, np.cumsum(sizes[flat_ids]))
             lengths = np.array([0 if n is None else n for n in column.value_lengths().to_pylist()], np.int64)
-            ends = through[np.append(0, np.cumsum(lengths))]
-            text, null = raw.tobytes(), column.is_null().to_pylist()
-            out = [None if z else text[a:b] for a, b, z in zip(ends[:-1].tolist(), ends[1:].tolist(), null, strict=True)]
+            offsets, null, out = np.append(0, np.cumsum(lengths)), column.is_null().to_pylist(), []
+            for a, b in text_ranges(offsets, 1 << 19):
+                own = flat_ids[offsets[a]:offsets[b]]
+                text = take_ranges(values, begins[own], sizes[own]).tobytes()
+                ends = np.append(0, np.cumsum(sizes[own]))[offsets[a:b + 1] - offsets[a]].tolist()
+                out += [None if z else text[x:y] for x, y, z in zip(ends[:-1], ends[1:], null[a:b], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, into])
 
     return encoded.select(*[F.col(f"`{f.name}`") for f in others]).mapInArrow(join, schema)
