@@ -120,7 +120,8 @@ def conversations(messages: DataFrame, conv_id: str = "conv_id", turn: str = "tu
     placed = staged(joined)
     tree = threads(placed)
     text_of = cut.where("level = 0").groupBy("row").agg(
-        F.trim(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", "body"))), lambda x: x["body"]), "\n"), ).alias("plain"))
+        F.btrim(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", "body"))), lambda x: x["body"]), "\n"),
+                F.lit(" \t\r\n")).alias("plain"))
     quotes = parts.where("level > 0").groupBy("row").agg(F.count("*").alias("quotes"))
     turns = rows.select(F.col("row").alias("at"), F.col("own_turn").alias("at_turn"))
     quoting_rows = quoting.select("row").join(text_of, "row", "left").select("row", F.coalesce("plain", F.lit("")).alias("plain"))

@@ -24,6 +24,8 @@ class Model:
     bias: float = -np.inf
 
     def score(self, text: str) -> float:
+        if self.bias == -np.inf:
+            return 0.0
         words = self.weights.keys() & set(WORD.findall(text.lower()))
         z = self.bias + sum(self.weights[w] for w in sorted(words))
         return float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
