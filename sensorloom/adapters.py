@@ -103,10 +103,10 @@ FROM (
 SELECT event_id, ts, k, form, big,
   CASE form WHEN 0 THEN 'producer_a' WHEN 1 THEN 'producer_b' WHEN 2 THEN 'priority' WHEN 3 THEN 'standard'
     WHEN 4 THEN 'standard' WHEN 5 THEN 'router' WHEN 6 THEN 'report' WHEN 7 THEN 'enrichment'
-    WHEN 8 THEN 'detector' WHEN 9 THEN 'batch' WHEN 10 THEN 'standard' ELSE 'producer_b' END AS process,
+    WHEN 8 THEN CASE WHEN k % 3 > 0 THEN 'detector' END WHEN 9 THEN 'batch' WHEN 10 THEN 'standard' ELSE 'producer_b' END AS process,
   CASE form
     WHEN 0 THEN concat('Progress: ', big, ' events sent | Rate: ', k, ' evt/s | Errors: ', k % 7)
-    WHEN 1 THEN concat('Progress: ', big, ' events | Rate: ', k, '/s | Null AQI: ', k % 11, ' (5.0%)')
+    WHEN 1 THEN concat(CASE WHEN k % 2 = 0 THEN 'Progress: ' ELSE 'Status: ' END, big, ' events | Rate: ', k, '/s | Null AQI: ', k % 11, ' (5.0%)')
     WHEN 2 THEN concat('HIGH_PRIORITY Stats | Processed: ', big, ' | Rate: ', k, '/s | Lag: ', k - 1, ' | Latency: 0.1ms')
     WHEN 3 THEN concat('STANDARD Consumer-1 | Processed: ', big, ' | Rate: ', k, '/s | Zones: 4')
     WHEN 4 THEN concat('STANDARD Consumer-2 LAG: Total=', big, ' | Partitions=[P0:1]')

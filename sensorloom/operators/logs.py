@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from sensorloom.functions.values import round_half_up, safe_ratio
 from sensorloom.operators.sequence import DEFAULT_SLICE
 from sensorloom.sources.staging import materialize
-from sensorloom.operators.slices import SLICE, add_slice, running_last, slice_prefix
+from sensorloom.operators.slices import SLICE, add_slice, join_summary, running_last, slice_prefix
 
 # Line families in matching order, each as the pattern that identifies the line and
 # the patterns of its numbers. The first group of a pattern is the number.
 _N = r"([\d,]+)"
 FAMILIES = {
     "producer": (
-        r"(?:Progress:\s*[\d,]+\s*events|Status:\s*[\d,]+\s*sent)",
+        r"(?:Progress|Status):\s*[\d,]+\s*(?:events|sent)",
         {
             "total": rf"(?:Progress|Status):\s*{_N}\s*(?:events|sent)",
             "rate": rf"{_N}\s*(?:evts?/s|/s)",
@@ -113,7 +113,7 @@ def log_metrics(lines: DataFrame, key: str = "process", order: list[str] | None
     by_slice = parsed.groupBy(key, SLICE).agg(F.sum("_one").alias("_ones"))
     earlier = slice_prefix(by_slice, [key], {"_ones": "_before"})
     w = Window.partitionBy(key, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    counted = parsed.join(earlier, [key, SLICE]).withColumn(
+    counted = join_summary(parsed, earlier, [key, SLICE]).withColumn(
         "_incidents", F.sum("_one").over(w) + F.col("_before")
     ).drop("_before")
     own = counted.withColumn("_base", F.col("total") - F.col("_incidents")).withColumn(

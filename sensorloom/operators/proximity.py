@@ -9,7 +9,8 @@ updates with position intervals:
 * then exactly on the interval and the great-circle distance.
 
 A cell is at least the distance wide, so a partner is in the update's cell or one of its eight
-neighbours. Positions on the two sides of the 180th meridian are not matched.
+neighbours. Cells of a band go round the globe, so the 180th meridian is no border, and a band near a
+pole is one cell.
 """
 
 from __future__ import annotations
@@ -40,11 +41,13 @@ def _band(lat: Column, distance: float) -> Column:
     return F.floor(lat / F.lit(distance * _MARGIN / METRES_PER_DEGREE)).cast("bigint")
 
 
-def _strip(band: Column, lon: Column, distance: float) -> Column:
-    """Cell number along a band; its width in degrees grows towards the poles."""
+def _strip(band: Column, lon: Column, distance: float, step: Column | int = 0) -> Column:
+    """Cell number along a band, `step` cells on; a whole number of cells goes round, fewer towards the poles."""
     side = distance * _MARGIN / METRES_PER_DEGREE
-    top = F.least((F.abs(band) + 2) * F.lit(side), F.lit(89.0))
-    return F.floor(lon / (F.lit(side) / F.cos(F.radians(top)))).cast("bigint")
+    top = (F.abs(band) + 2) * F.lit(side)
+    cells = F.when(top >= 89.0, F.lit(1)).otherwise(
+        F.greatest(F.floor(F.cos(F.radians(top)) * (360.0 / side)), F.lit(1))).cast("bigint")
+    return F.pmod(F.floor((lon + 180.0) / 360.0 * cells).cast("bigint") + step, cells)
 
 
 def positions(df: DataFrame, route: str = "route_id", bus: str = "bus_id", ts: str = "ts",
@@ -104,8 +107,8 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
     near_band = F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: d + band))
     looks = known.select("*", near_band.alias("_band")).select(
         "route", slice_number("ts", width).alias("_s"), "_band",
-        F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]),
-                              lambda d: d + _strip(F.col("_band"), F.col("lon"), distance))).alias("_strip"),
+        F.explode(F.array_distinct(F.array(*[
+            _strip(F.col("_band"), F.col("lon"), distance, d) for d in (-1, 0, 1)]))).alias("_strip"),
         F.struct("bus", "ts", "id", "lat", "lon", "n").alias("u"),
     )
     when = F.struct("u.ts", "u.id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.operators.slices import CARRY, SLICE, add_slice, carry_rows, ordering, running_number
+from sensorloom.operators.slices import CARRY, SLICE, add_slice, carry_rows, join_summary, ordering, running_number
 
 DEFAULT_SLICE = "6 hours"
 
@@ -94,7 +94,7 @@ def elapsed_in_series(df: DataFrame, keys: list[str], ts: str = "ts", out: str =
     """
     first = df.groupBy(*keys).agg(F.min(ts).alias("_first"))
     seconds = (F.unix_millis(ts) - F.unix_millis("_first")) / 1000.0
-    return df.join(first, keys).withColumn(out, F.round(seconds, 0).cast("bigint")).drop("_first")
+    return join_summary(df, first, keys).withColumn(out, F.round(seconds, 0).cast("bigint")).drop("_first")
 
 
 def latest_record(df: DataFrame, order: list[str], keys: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.functions.times import render_in_zone
@@ -53,6 +53,27 @@ def ward_view(archive: DataFrame, topic: DataFrame, ward: str, order: list[str],
     )
 
 
+def summary_rows(envelope: DataFrame) -> DataFrame:
+    """Ward summaries from their JSON messages, with the record's coordinates; bounds stay text."""
+    body = ("window_start STRING, window_end STRING, ward_id STRING, date STRING, total_kwh_consumed DOUBLE, "
+            "avg_power_factor DOUBLE, peak_voltage DOUBLE, source_layer STRING")
+    return envelope.select("partition", "offset", "timestamp", F.from_json("value", body).alias("d")).select(
+        "partition", "offset", "timestamp", "d.*").where(F.col("window_start").isNotNull())
+
+
+def query_ward(spark: SparkSession, archive: str, envelope: DataFrame, ward: str, total: int = 10_000,
+               order: list[str] | None = None, **options) -> DataFrame:
+    """The serving view of one ward: its folders of the archive at a path, and about `total` newest topic records.
+
+    The archive scan is pruned to the ward; of the topic only the tail is decoded. Options are those of `merge_views`.
+    """
+    from sensorloom.sources.tables import archive_rows, ward_archive
+    from sensorloom.sources.topics import tail_total
+
+    return ward_view(archive_rows(ward_archive(spark, archive)), summary_rows(tail_total(envelope, total)), ward,
+                     order or ["timestamp", "offset"], **options)
+
+
 def anchored_series(merged: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Chart series: the last BATCH point is repeated as the first SPEED point of its key.
 

@@ -14,6 +14,9 @@ rows as the time span has slices.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +34,13 @@ def ordering(order: list[str], reverse: bool = False):
     return [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
 
 
+def join_summary(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Add a summary's columns to the rows of its keys. Null keys and null slices meet too, as in a window."""
+    right = summary.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in summary.columns if c not in keys])
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(right, on).drop(*[f"_of_{k}" for k in keys])
+
+
 def carry_rows(df: DataFrame, keys: list[str], order: list[str], n: int,
                reverse: bool = False) -> DataFrame:
     """`df` (with its slice column) plus, in each slice, the n rows before it, flagged `_carry`.
@@ -71,7 +81,7 @@ def running_number(df: DataFrame, keys: list[str], order: list[str], out: str =
     counts = df.groupBy(*keys, SLICE).agg(F.count("*").alias("_rows"))
     offsets = slice_prefix(counts, keys, {"_rows": "_offset"})
     w = Window.partitionBy(*keys, SLICE).orderBy(*ordering(order))
-    return df.join(offsets, [*keys, SLICE]).withColumn(
+    return join_summary(df, offsets, [*keys, SLICE]).withColumn(
         out, F.row_number().over(w) + F.col("_offset")
     ).drop("_offset")
 
@@ -93,7 +103,7 @@ def running_last(df: DataFrame, keys: list[str], order: list[str], columns: dict
           for out in columns.values()],
     )
     w = Window.partitionBy(*keys, SLICE).orderBy(*ordering(order)).rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.join(left, [*keys, SLICE])
+    joined = join_summary(df, left, [*keys, SLICE])
     return joined.select(
         *df.columns,
         *[F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_left_{out}")).alias(out)
@@ -113,7 +123,7 @@ def neighbour_keys(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
         *keys, SLICE, F.lag("_hi").over(by_key).alias("_before"), F.lead("_lo").over(by_key).alias("_after")
     )
     w = Window.partitionBy(*keys, SLICE).orderBy(*ordering(order))
-    return df.join(around, [*keys, SLICE]).select(
+    return join_summary(df, around, [*keys, SLICE]).select(
         *df.columns,
         F.coalesce(F.lag(place).over(w), F.col("_before")).alias("_prev"),
         F.coalesce(F.lead(place).over(w), F.col("_after")).alias("_next"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sensorloom.functions.values import round_half_up
 from sensorloom.adapters import check_views, dimension, events, shape
 from sensorloom.operators import filters, logs, quality, rollups, sequence, serving
+from sensorloom.sources.staging import staging_dir
 from sensorloom.plans.registry import query, rounded
 
 # Events are sparse (one every few minutes), so windows here are hours and pauses are days.
@@ -229,21 +232,21 @@ def last_position(spark, sf):
 
 
 @query("cumulative_count", check_views() + """
-SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS total
-FROM ev""")
+SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY ts NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS total
+FROM (SELECT event_id, CASE WHEN event_id % 9 > 0 THEN event_type END AS event_type, CASE WHEN event_id % 11 > 0 THEN ts END AS ts FROM ev) t""")
 def cumulative_count(spark, sf):
-    counted = sequence.cumulative_count(
-        events(spark, sf).select("event_id", "event_type", "ts"), ["event_type"], ["ts", "event_id"],
-        slice_width="1 day",
-    )
+    # Rows without a type or a time count too.
+    rows = events(spark, sf).select(
+        "event_id", F.expr("CASE WHEN event_id % 9 > 0 THEN event_type END AS event_type"), F.expr("CASE WHEN event_id % 11 > 0 THEN ts END AS ts"))
+    counted = sequence.cumulative_count(rows, ["event_type"], ["ts", "event_id"], slice_width="1 day")
     return counted.select("event_id", "event_type", "total")
 
 
 @query("elapsed_series", check_views() + """
 SELECT event_id, user_id, CAST(round((epoch_ms(ts) - min(epoch_ms(ts)) OVER (PARTITION BY user_id)) / 1000.0::DOUBLE, 0) AS BIGINT)
-    AS elapsed_sec FROM ev""")
+    AS elapsed_sec FROM (SELECT event_id, CASE WHEN user_id % 7 > 0 THEN user_id END AS user_id, ts FROM ev) t""")
 def elapsed_series(spark, sf):
-    points = events(spark, sf).select("event_id", "user_id", "ts")
+    points = events(spark, sf).select("event_id", F.expr("CASE WHEN user_id % 7 > 0 THEN user_id END AS user_id"), "ts")
     return sequence.elapsed_in_series(points, ["user_id"]).select("event_id", "user_id", "elapsed_sec")
 
 
@@ -405,25 +408,31 @@ def samples_per_group(spark, sf):
 
 
 @query("dlq_report_lines", check_views("envelope") + VALIDATED + """,
-r AS (SELECT error_reason AS name, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM dead) AS pct,
-             row_number() OVER (ORDER BY count(*) DESC, error_reason) AS i FROM dead GROUP BY error_reason),
-s AS (SELECT source_topic AS name, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM dead) AS pct,
-             row_number() OVER (ORDER BY count(*) DESC, source_topic) AS i FROM dead GROUP BY source_topic)
-SELECT 1 AS section, CAST(i + 100 AS INTEGER) AS position, rtrim(concat('  ', rpad(name, 30, ' '), ' ',
-         lpad(format('{:,}', n), 8, ' '), ' ', lpad(format('{:.1f}', p), 10, ' '), '%  ',
-         repeat('█', CAST(floor(p / 2) AS INTEGER)))) AS line
-FROM (SELECT *, CAST(round(CAST(pct AS DECIMAL(38, 9)), 2) AS DOUBLE) AS p FROM r) r2
-UNION ALL
-SELECT 2, CAST(i + 100 AS INTEGER), concat('  ', rpad(name, 35, ' '), ' ', lpad(format('{:,}', n), 8, ' '), ' ',
-         lpad(format('{:.1f}', p), 10, ' '), '%')
-FROM (SELECT *, CAST(round(CAST(pct AS DECIMAL(38, 9)), 2) AS DOUBLE) AS p FROM s) s2""")
+c AS (SELECT error_reason AS reason, source_topic AS origin, grouping_id(error_reason, source_topic) AS g, count(*) AS n,
+             (SELECT count(*) FROM dead) AS total FROM dead GROUP BY GROUPING SETS ((error_reason), (source_topic), ())),
+r AS (SELECT *, coalesce(reason, origin) AS name, format('{:,}', n) AS shown, (n * 2000 + total) // greatest(2 * total, 1) AS tenths,
+             row_number() OVER (PARTITION BY g ORDER BY n DESC, coalesce(reason, origin)) AS i FROM c),
+t AS (SELECT *, concat(tenths // 10, '.', tenths % 10, ' %') AS share FROM r),
+p AS (SELECT *, concat(rpad(name, 32, ' '), lpad(shown, 12, ' '), lpad(share, 9, ' ')) AS per FROM t WHERE g < 3),
+s AS (SELECT *, row_number() OVER (PARTITION BY error_reason ORDER BY dlq_timestamp, source_topic, source_partition, source_offset) AS k,
+             dense_rank() OVER (ORDER BY error_reason) AS d FROM dead),
+every AS (
+SELECT 0 AS section, 0 AS position, 0 AS detail, concat('Dead letters: ', shown, ' from dlq in 5.0 minutes') AS line FROM t WHERE g = 3
+UNION ALL SELECT 1, i, 0, concat(per, '  ', repeat('█', n * 50 // greatest(total, 1))) FROM p WHERE g = 1
+UNION ALL SELECT 2, i, 0, per FROM p WHERE g = 2
+UNION ALL SELECT 3, d * 100 + k, 0, concat(error_reason, ' #', k, ' at ', source_topic, '/', source_partition, '/', source_offset)
+          FROM s WHERE k <= 3
+UNION ALL SELECT 3, d * 100 + k, 2, concat('  value: ', CASE WHEN length(original_message) > 100
+          THEN concat(left(original_message, 100), '...') ELSE coalesce(original_message, '') END) FROM s WHERE k <= 3
+UNION ALL SELECT 4, i, 0, CASE reason WHEN 'NULL_AQI' THEN concat(share, ' of all dead letters lack an index value')
+          WHEN 'IMPOSSIBLE_GPS' THEN concat(shown, ' positions are not in the city')
+          ELSE concat(shown, ' messages are ahead of the clock') END
+          FROM p WHERE g = 1 AND reason IN ('NULL_AQI', 'IMPOSSIBLE_GPS', 'FUTURE_TIMESTAMP')
+UNION ALL SELECT * FROM (VALUES (1, 0, 0, 'By reason'), (2, 0, 0, 'By topic'), (3, 0, 0, 'Samples'), (4, 0, 0, 'Remarks')) AS titles)
+SELECT CAST(section AS INTEGER) AS section, CAST(position AS INTEGER) AS position, CAST(detail AS INTEGER) AS detail, line FROM every""")
 def dlq_report_lines(spark, sf):
-    """The counted lines of the report; the samples and fixed lines are tested apart."""
-    lines = quality.report_lines(dead(spark, sf))
-    counted = lines.where(
-        F.col("section").isin(1, 2) & (F.col("position") > 100) & (F.col("position") < 10_000)
-    )
-    return counted.select("section", "position", F.rtrim("line").alias("line"))
+    """The whole report but for the error messages of its samples, which are tested apart."""
+    return quality.report_lines(dead(spark, sf)).where((F.col("section") != 3) | (F.col("detail") != 1))
 
 
 # ---- serving -------------------------------------------------------------------------------
@@ -487,6 +496,20 @@ def serving_ward(spark, sf):
     return _rounded_view(serving.ward_view(*archive_and_topic(spark, sf), "W7", ["offset"]))
 
 
+@query("serving_query", check_views("meters") + _VIEWS + "SELECT * FROM merged WHERE ward_id = 'W7'")
+def serving_query(spark, sf):
+    """The whole way: a written, partitioned archive and a topic of JSON summaries, tail, decode and merge, for one ward."""
+    archive, topic = archive_and_topic(spark, sf)
+    path = f"{staging_dir(spark)}/archive-{uuid.uuid4().hex}"
+    batch = rollups.ward_rollup(shape(spark, sf, "meters").where(F.col("ts") < F.lit(CUT)), width=WIDE)
+    batch.write.partitionBy("ward_id", "date").parquet(path)
+    body = F.to_json(F.struct(*[c for c in topic.columns if c != "offset"]))
+    envelope = topic.select(
+        F.col("ward_id").alias("key"), body.alias("value"), F.lit("ward_energy_summary").alias("topic"), F.lit(0).alias("partition"),
+        "offset", F.lit(None).cast("timestamp").alias("timestamp"))
+    return _rounded_view(serving.query_ward(spark, path, envelope, "W7", order=["offset"], total=10_000_000))
+
+
 @query("layer_anchor", check_views("meters") + _VIEWS + """,
 p AS (SELECT ward_id, window_start, total_kwh_consumed, source_layer FROM merged)
 SELECT * FROM p UNION
@@ -535,7 +558,10 @@ b AS ({_ROLLUP})
 SELECT ward_id, strftime(window_start, '%Y-%m-%dT%H:%M:%S.000Z') AS window_start,
        strftime(window_end, '%Y-%m-%dT%H:%M:%S.000Z') AS window_end, date, total_kwh_consumed FROM b WHERE ward_id = 'W3'""")
 def pruned_view_scan(spark, sf):
-    from sensorloom.sources.tables import archive_rows
+    """A written archive by ward and day, of which one ward's folders are read."""
+    from sensorloom.sources.tables import archive_rows, ward_archive
 
-    archive = filters.all_present(tumbling_rollup(spark, sf), ["window_start"]).where(F.col("ward_id") == "W3")
+    path = f"{staging_dir(spark)}/archive-{uuid.uuid4().hex}"
+    tumbling_rollup(spark, sf).write.partitionBy("ward_id", "date").parquet(path)
+    archive = filters.all_present(ward_archive(spark, path, "W3"), ["window_start"])
     return archive_rows(archive).select("ward_id", "window_start", "window_end", "date", "total_kwh_consumed")

@@ -50,14 +50,27 @@ def jdbc_writer(url: str, properties: dict[str, str] | None = None) -> Callable[
     return write
 
 
-def ingest_batch(write: Callable[[DataFrame, str], None], streams: list[str] | None = None):
-    """A `foreachBatch` function that splits a multi-topic batch over its tables."""
+def ingest_batch(write: Callable[[DataFrame, str], None], streams: list[str] | None = None,
+                 commit: Callable[[int, dict[str, str]], None] | None = None):
+    """A `foreachBatch` function that splits a multi-topic batch over its tables.
+
+    Without `commit` each table is written as it comes, and a batch repeated after a failure inserts again. With
+    it, `write` gets the name of a staging table of this batch, which it must overwrite, and `commit(batch_id, {staging:
+    table})` is called once at the end: it inserts from all staging tables and records the batch in one transaction
+    of the database, and does nothing for a batch that is on record.
+    """
 
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            staged = {}
             for stream in streams or list(schemas.RELATIONAL):
-                write(project(batch, stream), schemas.RELATIONAL[stream][0])
+                table = schemas.RELATIONAL[stream][0]
+                place = f"{table}_batch_{batch_id}" if commit else table
+                write(project(batch, stream), place)
+                staged[place] = table
+            if commit:
+                commit(batch_id, staged)
         finally:
             batch.unpersist()
 

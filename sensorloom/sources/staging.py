@@ -8,12 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of single-machine sessions that name none.
+_LOCAL: dict[str, str] = {}
+
+
 def staging_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a folder of our own only where none is named."""
+    """The shared folder in `spark.checkpoint.dir`.
+
+    Where it is unset a single-machine session gets a folder of its own; on a cluster that would be one folder per
+    machine, so it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="sensorloom-")
-        spark.sparkContext.setCheckpointDir(folder)
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="sensorloom-"))
     return folder
 
 
@@ -22,7 +31,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
     For results that are costly to compute, small beside their input and read more than once. The
     written table outlives lost executors, reads back only the columns a reader needs, and its
-    size is known to the planner. A streaming DataFrame comes back as it is.
+    size is known to the planner. The job runs when a query is built, and the table stays until the
+    folder's owner clears it, as a query may run at any later time. A streaming DataFrame comes back as it is.
     """
     if df.isStreaming:
         return df

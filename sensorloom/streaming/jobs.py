@@ -48,6 +48,22 @@ def ward_energy(envelope: DataFrame, archive: str, checkpoint: str, width: str =
     return live, final
 
 
+def ward_speed(envelope: DataFrame, checkpoint: str, width: str = "15 minutes", delay: str = METER_DELAY,
+               available_now: bool = False, **topic) -> tuple[StreamingQuery, StreamingQuery]:
+    """The same windows as they stand (SPEED layer, unrounded): a row at each change, and one more when a window ends."""
+    rollup = rollups.ward_rollup(timed(envelope, METERS, schemas.SMART_METERS, delay), width=width, layer="SPEED", rounding=False)
+    messages = out.to_envelope(rollup, "ward_id")
+
+    def start(part: str, mode: str) -> StreamingQuery:
+        target = dict(topic)
+        if target.get("path"):
+            target["path"] = f"{target['path']}/emission={part}"
+        return out.write_topic(messages, ENERGY, f"{checkpoint}/{part}", mode, name=f"ward_speed_{part}",
+                               available_now=available_now, **target)
+
+    return start("change", "update"), start("final", "append")
+
+
 def health_advisories(envelope: DataFrame, profile: DataFrame, checkpoint: str, delay: str = AIR_DELAY,
                       available_now: bool = False, **topic) -> StreamingQuery:
     air = timed(envelope, AIR, schemas.AIR_QUALITY, delay)
@@ -109,10 +125,10 @@ def detect_incidents(envelope: DataFrame, checkpoint: str, delay: str = INCIDENT
     return started
 
 
-def ingest_tables(envelope: DataFrame, write, checkpoint: str, streams: list[str] | None = None,
+def ingest_tables(envelope: DataFrame, write, checkpoint: str, streams: list[str] | None = None, commit=None,
                   available_now: bool = False) -> StreamingQuery:
-    """Relational ingest of several topics in one query."""
-    writer = envelope.writeStream.foreachBatch(relational.ingest_batch(write, streams)).option(
+    """Relational ingest of several topics in one query; with `commit`, a repeated batch is not inserted twice."""
+    writer = envelope.writeStream.foreachBatch(relational.ingest_batch(write, streams, commit)).option(
         "checkpointLocation", checkpoint
     ).queryName("relational_ingest")
     if available_now:

@@ -269,9 +269,11 @@ def aqi_emergency_stream(air: DataFrame, ts: str = "ts", tiebreak: str = "event_
 
     # The condition names the event time so that it stays above the watermark: readings below the
     # threshold must move the watermark too, or alerts would wait for the next breach.
-    over = air.where(F.when(F.col(ts).isNotNull(), F.col("aqi") > threshold)).withColumn("sensor_id", F.coalesce("sensor_id", F.lit("unknown")))
-    columns = list(dict.fromkeys(["sensor_id", "zone", "aqi", "pm25", "pm10", "no2", tiebreak]))
-    return aqi_alert_rows(cooldown_stream(over, ["sensor_id"], ts, pause, [tiebreak], columns, order), threshold)
+    over = air.where(F.when(F.col(ts).isNotNull(), F.col("aqi") > threshold)).withColumn(
+        "_sensor", F.coalesce("sensor_id", F.lit("unknown")))
+    # State needs a key; the alert keeps the id as it came.
+    columns = list(dict.fromkeys(["_sensor", "sensor_id", "zone", "aqi", "pm25", "pm10", "no2", tiebreak]))
+    return aqi_alert_rows(cooldown_stream(over, ["_sensor"], ts, pause, [tiebreak], columns, order), threshold)
 
 
 def gridlock_stream(signals: DataFrame, ts: str = "ts", tiebreak: str = "event_id",
@@ -280,14 +282,14 @@ def gridlock_stream(signals: DataFrame, ts: str = "ts", tiebreak: str = "event_i
     from sensorloom.operators.incidents import gridlock_alert_rows
 
     columns = list(dict.fromkeys(
-        ["junction_id", "zone", "vehicle_count", "avg_wait_sec", "signal_phase", tiebreak]))
-    named = signals.withColumn("junction_id", F.coalesce("junction_id", F.lit("unknown")))
+        ["_junction", "junction_id", "zone", "vehicle_count", "avg_wait_sec", "signal_phase", tiebreak]))
+    named = signals.withColumn("_junction", F.coalesce("junction_id", F.lit("unknown")))
     rows = _payload(named, ts, columns)
     schema = _schema(rows, columns)
     out = T.StructType([*schema.fields, T.StructField("recent", T.ArrayType(T.DoubleType())),
                         T.StructField("recent_mean", T.DoubleType())])
     processor = ConsecutiveBreach(schema, [tiebreak], "avg_wait_sec", threshold, n, pause, order)
-    return gridlock_alert_rows(_apply(rows, ["junction_id"], processor, out), threshold, n)
+    return gridlock_alert_rows(_apply(rows, ["_junction"], processor, out), threshold, n)
 
 
 def bus_bunching_stream(buses: DataFrame, ts: str = "ts", tiebreak: str = "event_id",

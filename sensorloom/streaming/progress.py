@@ -8,10 +8,14 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the newest progress figures of every query; `limit` bounds what is kept."""
+    """Progress of every query: all counters summed up, and the newest entries in detail.
+
+    `limit` bounds the detailed entries only; sums are one number per query, counter and field.
+    """
 
     def __init__(self, limit: int = 1000, log=None):
         self.entries: deque[dict] = deque(maxlen=limit)
+        self.sums: dict[tuple[str | None, str], dict] = {}
         self.log = log
 
     def onQueryStarted(self, event) -> None:
@@ -25,6 +29,10 @@ class ProgressLog(StreamingQueryListener):
             "counters": {k: v.asDict() for k, v in p.observedMetrics.items()},
         }
         self.entries.append(entry)
+        for counter, fields in entry["counters"].items():
+            total = self.sums.setdefault((p.name, counter), {})
+            for field, value in fields.items():
+                total[field] = total.get(field, 0) + (value or 0)
         if self.log:
             self.log(entry)
 
@@ -35,10 +43,5 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def totals(self, query: str, counter: str) -> dict:
-        """Sum of a counter's fields over the kept batches of a query."""
-        out: dict = {}
-        for e in self.entries:
-            if e["query"] == query:
-                for k, v in e["counters"].get(counter, {}).items():
-                    out[k] = out.get(k, 0) + v
-        return out
+        """Sum of a counter's fields over all batches of a query so far."""
+        return dict(self.sums.get((query, counter), {}))

@@ -154,6 +154,19 @@ def test_ward_energy_two_sinks_late_rows_and_restart(spark, tmp_path):
     assert {(str(r.window_start), r.t) for r in newest.collect()} >= {("2026-01-01 00:00:00", 4.5), ("2026-01-01 00:15:00", 1.0)}
 
 
+def test_ward_speed_changes_and_final_rows(spark, tmp_path):
+    src = str(tmp_path / "in")
+    write_envelope(spark, [reading("00:00:00.000", 100.0), reading("00:14:59.999", 104.128)], src, 0)
+    write_envelope(spark, [reading("06:00:00.000", 150.0)], src, 1)
+    env = topics.stream_topics(spark, ["smart_meters"], path=src, per_trigger=1)
+    for q in jobs.ward_speed(env, str(tmp_path / "ck"), available_now=True, path=str(tmp_path / "topic")):
+        q.awaitTermination(240)
+        assert q.exception() is None
+    rows = spark.read.parquet(str(tmp_path / "topic")).select("emission", F.from_json("value", schemas.WARD_SUMMARY).alias("d")).select("emission", "d.*")
+    got = {(r.emission, str(r.window_start)[11:16], round(r.total_kwh_consumed, 6), r.source_layer) for r in rows.collect()}
+    assert got == {("change", "00:00", 4.128, "SPEED"), ("change", "06:00", 0.0, "SPEED"), ("final", "00:00", 4.128, "SPEED")}
+
+
 def test_advisory_stream_equals_batch(spark, tmp_path):
     air = shape(spark, SF_SMALL, "air").where("ts < '2024-01-03'").cache()
     profile = dimension(spark, SF_SMALL, "profile").cache()
