@@ -82,6 +82,15 @@ def plain_fingerprint(text, width=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def plain_shingles(text, width=5):
+    words = text.encode().lower().split()
+    return {tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def alike(a, b):
+    return bool(a and b) and len(a & b) >= 0.8 * len(a | b)
+
+
 def test_simhash_equals_brute_force(spark, documents):
     prints = {i: plain_fingerprint(t) for i, t in documents.items()}
     parent = {i: i for i in prints}
@@ -165,6 +174,11 @@ def test_pipeline_stages(spark, documents):
         elif operator == 8:
             prints = [plain_fingerprint(t) for t in after.values()]
             assert all((a ^ b).bit_count() > 2 for n, a in enumerate(prints) for b in prints[:n])
+            sets = {i: plain_shingles(t) for i, t in before.items()}
+            assert not any(alike(sets[a], sets[b]) for a in after for b in after if a < b)
+            full = {i: plain_fingerprint(t) for i, t in before.items()}
+            assert all(any(j < i and (alike(sets[i], sets[j]) or (full[i] ^ full[j]).bit_count() <= 2) for j in before)
+                       for i in before.keys() - after.keys())
         elif operator == 6:
             assert all(any(plain_spans(before[i])) == (t != before[i]) and not any(plain_spans(t)) for i, t in after.items())
     ids = {r.doc_id for r in pipeline.packed(spark, kept, SF_SMALL).select("doc_id").collect()}
