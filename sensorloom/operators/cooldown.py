@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from sensorloom.functions.times import micros, slice_number
 from sensorloom.operators.slices import SLICE
+from sensorloom.sources.staging import materialize
 
 SLICE_COOLDOWNS = 64
 
@@ -201,7 +202,8 @@ def cooldown(df: DataFrame, keys: list[str], ts: str, pause: str, tiebreak: list
              slice_width: str | None = "auto") -> DataFrame:
     """Rows that alert: no earlier alert of the key, or more than `pause` after it (strict).
 
-    Equal times are taken in `tiebreak` order. Filter to candidate rows first. `slice_width=None`
+    Equal times are taken in `tiebreak` order. Filter to candidate rows first: they are staged, which runs a job when
+    the query is built. `slice_width=None`
     folds each key in one task, which is right for keys known to be small.
     """
     c = micros(pause)
@@ -215,7 +217,8 @@ def cooldown(df: DataFrame, keys: list[str], ts: str, pause: str, tiebreak: list
         if width < c:
             raise ValueError("a slice must not be shorter than the pause")
         group = [*keys, SLICE]
-        rows = rows.withColumn(SLICE, slice_number(ts, width))
+        # Both steps over (key, slice) read the candidates; what makes them must not run twice.
+        rows = materialize(rows.withColumn(SLICE, slice_number(ts, width)))
         table_type = T.StructType(
             [rows.schema[k] for k in group]
             + [T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())]

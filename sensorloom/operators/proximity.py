@@ -79,17 +79,26 @@ def positions(df: DataFrame, route: str = "route_id", bus: str = "bus_id", ts: s
     )
 
 
+def reporting_slice(known: DataFrame) -> int:
+    """Four median intervals between a bus's updates in microseconds, within 10 seconds and 6 hours."""
+    apart = F.unix_micros("next.ts") - F.unix_micros("ts")
+    median = known.where("next IS NOT NULL").agg(F.percentile_approx(apart, 0.5)).first()[0]
+    return min(max(4 * (median or 0), micros("10 seconds")), micros("6 hours"))
+
+
 def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None = None,
-                      join_slice: str = "1 hour", slice_width: str = DEFAULT_SLICE,
+                      join_slice: str = "auto", slice_width: str = DEFAULT_SLICE,
                       **columns: str) -> DataFrame:
     """One row for each (update, other bus of the route) less than `distance` metres apart.
 
     `step` counts the updates of both buses so far: two observations of a pair with consecutive
     steps have no update between them at which the pair was apart. `ttl` forgets positions; without
-    it they are kept until replaced.
+    it they are kept until replaced. An update is compared with the positions held in its time slice, so the slice
+    should be a few reporting intervals: `auto` takes four times their median, at least 10 seconds and at most
+    6 hours, which runs a job when the query is built.
     """
     known = positions(df, slice_width=slice_width, **columns)
-    width = micros(join_slice)
+    width = reporting_slice(known) if join_slice == "auto" else micros(join_slice)
     band = _band(F.col("lat"), distance)
     last = df.groupBy(F.coalesce(F.col(columns.get("route", "route_id")), F.lit("unknown")).alias("route")).agg(
         F.max(slice_number(columns.get("ts", "ts"), width)).alias("_end")
