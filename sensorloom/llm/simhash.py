@@ -152,21 +152,22 @@ def slice_values(hashes: np.ndarray) -> list[int] | None:
     """A SimHash of SLICES x BITS bits, cut into slices; every further 64 bits come from the hashes mixed anew."""
     if not len(hashes):
         return None
-    bits = []
-    for word in range(-(-SLICES * BITS // 64)):
-        x = hashes ^ np.uint64((word + 1) * 0x9E3779B97F4A7C15 % 2**64)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        counts = np.zeros(64, np.int64)
-        for at in range(0, len(x), 255 * 128):
-            some = np.unpackbits(x[at:at + 255 * 128].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-            whole = len(some) // 255 * 255
-            if whole:
-                counts += np.add.reduce(some[:whole].reshape(-1, 255, 64), axis=1, dtype=np.uint8).sum(0, dtype=np.int64)
-            counts += some[whole:].sum(0, dtype=np.int64)
-        bits.append(counts * 2 > len(x))
-    return (np.concatenate(bits)[:SLICES * BITS].reshape(SLICES, BITS) @ (1 << np.arange(BITS))).tolist()
+    with np.errstate(over="ignore"):
+        x = hashes[:, None] ^ (np.arange(1, -(-SLICES * BITS // 64) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    counts = np.zeros(64 * x.shape[1], np.int64)
+    for at in range(0, len(x), 255 * 16):
+        y = x[at:at + 255 * 16]
+        y = (y ^ (y >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        y = (y ^ (y >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        y ^= y >> np.uint64(31)
+        some = np.unpackbits(y.astype("<u8").view(np.uint8), axis=1)
+        whole = len(some) // 255 * 255
+        if whole:
+            counts += np.add.reduce(some[:whole].reshape(-1, 255, some.shape[1]), axis=1, dtype=np.uint8).sum(0, dtype=np.int64)
+        if whole < len(some):
+            counts += np.add.reduce(some[whole:], axis=0, dtype=np.uint8)
+    bits = counts * 2 > len(x)
+    return (bits[:SLICES * BITS].reshape(SLICES, BITS) @ (1 << np.arange(BITS))).tolist()
 
 
 def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8, width: int = 5) -> DataFrame:
@@ -191,7 +192,7 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
         for texts in batches:
             yield pd.Series([shingle_hashes(t, width).view(np.int64) for t in texts])
 
-    prints = staged(source.select("row", slices("text").alias("w")).where("w IS NOT NULL"))
+    prints = staged(source.select("row", slices("text").alias("w"))).where("w IS NOT NULL")  # a filter before would run it twice
     code = F.shiftleft(F.col("nth").cast("long"), 58).bitwiseOR(F.shiftleft(F.col("value").cast("long"), 58 - BITS))
     coded = prints.select("row", F.posexplode("w").alias("nth", "value")).select("row", code.alias("fp"))
     leads = staged(coded.groupBy("fp").agg(F.min(F.struct(F.xxhash64("row").alias("h"), "row"))["row"].alias("lead")))
