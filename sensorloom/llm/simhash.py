@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import components, free_name, numbered, own_columns, staged, text_or_empty
+from sensorloom.llm.common import components, discard, free_name, numbered, own_columns, staged, text_or_empty
 
 BLOCK = 1 << 15  # shingles whose bits are counted at once
 
@@ -145,74 +146,114 @@ def shingle_hashes(text: str, width: int = 5, seed: int = 42) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends[width - 1:], strict=False)], np.uint64))
 
 
-SLICES, BITS = 24, 22
+GROUP = 32  # rows of one shingle that are proposed all with all at once
+SAMPLE, OFTEN = 8192, 8  # rows looked at for frequent shingles, and in how many of them a shingle is frequent
 
 
-def slice_values(hashes: np.ndarray) -> list[int] | None:
-    """A SimHash of SLICES x BITS bits, cut into slices; every further 64 bits come from the hashes mixed anew."""
-    if not len(hashes):
-        return None
-    with np.errstate(over="ignore"):
-        x = hashes[:, None] ^ (np.arange(1, -(-SLICES * BITS // 64) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    counts = np.zeros(64 * x.shape[1], np.int64)
-    for at in range(0, len(x), 255 * 16):
-        y = x[at:at + 255 * 16]
-        y = (y ^ (y >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        y = (y ^ (y >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        y ^= y >> np.uint64(31)
-        some = np.unpackbits(y.astype("<u8").view(np.uint8), axis=1)
-        whole = len(some) // 255 * 255
-        if whole:
-            counts += np.add.reduce(some[:whole].reshape(-1, 255, some.shape[1]), axis=1, dtype=np.uint8).sum(0, dtype=np.int64)
-        if whole < len(some):
-            counts += np.add.reduce(some[whole:], axis=0, dtype=np.uint8)
-    bits = counts * 2 > len(x)
-    return (bits[:SLICES * BITS].reshape(SLICES, BITS) @ (1 << np.arange(BITS))).tolist()
+def prefix_size(size: int, similarity: float) -> int:
+    """So many first shingles, in an order all texts share, hold one of any text that is `similarity` alike."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
 
 
 def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8, width: int = 5) -> DataFrame:
     """Links (a, b) between rows whose texts' sets of word shingles have a Jaccard similarity of `similarity`.
 
-    At 0.8 about a seventh of SimHash bits differ, too many for one trie of 64 bits. So 528 bits are cut into 24 slices,
-    and a trie join at one differing bit in each of them proposes pairs: at similarity 0.8 one slice proposes
-    13 % of the pairs and all together 96 %, at 0.85 more than 99 %. Rows of equal slice are proposed with one of
-    them, the same throughout, and for other slices these stand for the rest, so a large group never expands into
-    pairs. Proposed pairs pass if all bits differ as little as the similarity allows at 4.5 deviations,
-    and are then compared by their shingles. Wordless texts are not linked.
+    The links connect whatever all such pairs connect, at any text length; not every pair is listed. Candidates come
+    from prefix filtering, which misses no pair: of two texts that are so similar, the first shingles of each, in one
+    order for all texts, share one. The order puts shingles that are frequent in some rows last and goes by hash
+    otherwise; it decides how many pairs are proposed, never which are found. Tokens are 32 bits of a
+    hash, and pairs are compared by whole hashes. Sizes and places of the shared shingle rule out most pairs.
+
+    Up to 32 rows of one shingle are proposed all with all. A crowded shingle's rows meet one lead first, the row in
+    most crowded shingles, which is what copies were made from; then only rows that are not yet connected are left to
+    compare. While these are many and leads still connect some, other leads follow; at last all pairs of rows
+    of a shingle that are not connected are compared. Wordless texts are not linked.
     """
     source = rows.select(F.col(row).alias("row"), text_or_empty(text).alias("text"))
 
-    @F.pandas_udf("array<int>")
-    def slices(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([slice_values(shingle_hashes(t, width)) for t in texts])
-
     @F.pandas_udf("array<long>")
     def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([shingle_hashes(t, width).view(np.int64) for t in texts])
 
-    prints = staged(source.select("row", slices("text").alias("w"))).where("w IS NOT NULL")  # a filter before would run it twice
-    code = F.shiftleft(F.col("nth").cast("long"), 58).bitwiseOR(F.shiftleft(F.col("value").cast("long"), 58 - BITS))
-    coded = prints.select("row", F.posexplode("w").alias("nth", "value")).select("row", code.alias("fp"))
-    leads = staged(coded.groupBy("fp").agg(F.min(F.struct(F.xxhash64("row").alias("h"), "row"))["row"].alias("lead")))
-    star = coded.join(leads, "fp").where("row <> lead").select(F.col("row").alias("a"), F.col("lead").alias("b"))
-    depth = 6 + max(1, min(BITS, math.ceil(math.log2(max(2, prints.count() / 32)))))
-    beside = trie_links(leads.select("fp"), 1, first=depth, same=6)
-    beside = beside.join(leads.select(F.col("fp").alias("a"), F.col("lead").alias("x")), "a").join(
-        leads.select(F.col("fp").alias("b"), F.col("lead").alias("y")), "b").where("x <> y").select("x", "y")
-    pairs = staged(star.union(beside).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    flip = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    most = int(SLICES * BITS * flip + 4.5 * math.sqrt(SLICES * BITS * flip * (1 - flip)))
-    apart = F.aggregate(F.zip_with("w", "v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    close = pairs.join(prints.withColumnRenamed("row", "a"), "a").join(
-        prints.select(F.col("row").alias("b"), F.col("w").alias("v")), "b").where(apart <= most).select("a", "b")
-    close = staged(close)
-    wanted = close.select(F.col("a").alias("row")).union(close.select("b")).distinct()
-    sets = staged(source.join(wanted, "row", "left_semi").select("row", hashes("text").alias("s")))
-    both = close.join(sets.withColumnRenamed("row", "a"), "a").join(sets.select(F.col("row").alias("b"), F.col("s").alias("t")), "b")
-    common = F.size(F.array_intersect("s", "t"))
-    return staged(both.where(common >= similarity * (F.size("s") + F.size("t") - common)).select("a", "b"))
+    def prefixes(often: np.ndarray):
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                parts, sizes = [np.zeros(0, np.uint64)], []
+                for t in batch.column("text").to_pylist():
+                    s = shingle_hashes(t, width)
+                    sizes.append(len(s))
+                    if len(often):
+                        late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
+                        s = np.concatenate([s[~late], s[late]])
+                    parts.append(s[:prefix_size(len(s), similarity)] if len(s) else s)
+                counts = np.array([len(x) for x in parts[1:]], np.int64)
+                token = np.concatenate(parts).astype(np.uint32).view(np.int32)
+                at = np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token), pa.array(np.repeat(batch.column("row").to_numpy(), counts)),
+                     pa.array(np.repeat(np.array(sizes, np.int32), counts)), pa.array(at.astype(np.int32))], ["token", "row", "size", "at"])
+
+        return source.mapInArrow(cut, "token int, row long, size int, at int")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        pairs = staged(pairs)
+        wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+        sets = staged(source.join(wanted, "row", "left_semi").select("row", hashes("text").alias("s")))
+        both = pairs.join(sets.withColumnRenamed("row", "a"), "a").join(sets.select(F.col("row").alias("b"), F.col("s").alias("t")), "b")
+        common = F.size(F.array_intersect("s", "t"))
+        out = staged(both.where(common >= similarity * (F.size("s") + F.size("t") - common)).select("a", "b"))
+        discard(sets)
+        discard(pairs)
+        return out
+
+    def fits(x: str, y: str) -> Column:
+        n, m = F.col(f"{x}.size"), F.col(f"{y}.size")
+        # A pair is seen at its first shared shingle at least, and what follows there bounds what it shares.
+        most = F.least(n - F.col(f"{x}.at"), m - F.col(f"{y}.at"))
+        return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6) & (most >= similarity / (1 + similarity) * (n + m) - 1e-6)
+
+    def met(members: DataFrame, others: DataFrame, *conditions: Column) -> DataFrame:
+        on = F.col("x.token") == F.col("y.token")
+        for c in (F.col("x.row") != F.col("y.row"), fits("x", "y"), *conditions):
+            on = on & c
+        return members.alias("x").join(others.alias("y"), on).select(
+            F.greatest("x.row", "y.row").alias("a"), F.least("x.row", "y.row").alias("b")).distinct()
+
+    total = source.count()
+    some = source.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(total, 1)) * (1 << 30)))
+    often = some.select(F.explode(hashes("text")).alias("h")).groupBy("h").count().where(F.col("count") >= OFTEN).select("h").toPandas()
+    often = np.sort(often["h"].to_numpy(np.int64).view(np.uint64))
+    every = staged(prefixes(often))
+    counts = staged(every.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = staged(every.join(counts, "token"))
+    discard(every)
+    small, crowd = shared.where(F.col("n") <= GROUP), shared.where(F.col("n") > GROUP)
+    pairs = met(small, small, F.col("x.row") > F.col("y.row"))
+    links = alike(pairs)
+    if crowd.isEmpty():
+        return links
+    places = staged(crowd.groupBy("row").agg(F.count("*").alias("places")))
+    crowd = staged(crowd.drop("n").join(places, "row"))
+    for turn in count():
+        label = components(links).withColumnRenamed("node", "row")
+        members = staged(crowd.join(label, "row", "left").withColumn("label", F.coalesce("root", "row")).drop("root"))
+        apart = members.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(
+            (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("left")).where("left > 0")
+        apart = staged(apart)
+        left, rows_left = apart.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0] // 2, crowd.count()
+        if not left:
+            return links
+        members = staged(members.join(apart.select("token"), "token"))
+        differ = F.col("x.label") != F.col("y.label")
+        last = turn and (left <= GROUP * rows_left or not gained)
+        if last:
+            return links.union(alike(met(members, members, differ, F.col("x.row") > F.col("y.row"))))
+        first = F.struct("places" if not turn else F.lit(0).alias("places"), F.xxhash64("row", F.lit(turn)).alias("h"))
+        leads = staged(members.groupBy("token").agg(F.max_by(F.struct("row", "size", "at", "label"), first).alias("l")).select("token", "l.*"))
+        more = alike(met(members, leads, differ))
+        gained = not more.isEmpty()
+        links = links.union(more)
 
 
 def hexadecimal(fp: str) -> Column:

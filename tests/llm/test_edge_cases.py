@@ -260,3 +260,60 @@ def test_previous_across_slices(spark):
     got = {turn[r.row]: turn.get(r.before) for r in chat_quotes.previous(df, 16).collect()}
     assert got == {t: (t - 3 if t else None) for t in range(0, 300, 3)}
     assert df.where(F.col("row").isNull()).count() == 0
+
+
+def _similar_groups(spark, texts):
+    rows = numbered(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    of = {r.row: r.doc_id for r in rows.collect()}
+    roots = {of[r.node]: r.root for r in components(simhash.similar_links(rows, "text", "row")).collect()}
+    return {i: roots.get(i, -1 - i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("copies", [200, 600])
+def test_similar_copies_of_one_original(spark, copies):
+    rng = np.random.default_rng(5)
+    original = [f"w{i}" for i in rng.integers(0, 10**6, 600)]
+    texts = []
+    for _ in range(copies):
+        own = list(original)
+        for at in rng.choice(600, 9, replace=False):
+            own[at] = f"x{rng.integers(0, 10**9)}"
+        texts.append(" ".join(own))
+    texts.insert(copies // 2, " ".join(original))
+    sets = [set(simhash.shingle_hashes(t).tolist()) for t in texts]
+    from_original = {i for i, s in enumerate(sets) if len(s & sets[copies // 2]) >= 0.8 * len(s | sets[copies // 2])}
+    assert len(from_original) > copies * 0.99
+    got = _similar_groups(spark, texts)
+    assert len({got[i] for i in from_original}) == 1
+
+
+def test_similar_pairs_of_any_length(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for n in [5, 8, 8, 8, 9, 12, 20, 40, 100] * 20:
+        base = [f"w{i}" for i in rng.integers(0, 10**9, n)]
+        texts += [" ".join(base), " ".join([*base, "more"])]
+    sets = [set(simhash.shingle_hashes(t).tolist()) for t in texts]
+    near = [i for i in range(0, len(texts), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    got = _similar_groups(spark, texts)
+    assert len(near) == 160 and all((got[i] == got[i + 1]) == (i in near) for i in range(0, len(texts), 2))
+    assert len(set(got.values())) == len(texts) - len(near)
+
+
+def test_similar_chains_without_an_original(spark):
+    # Rows of one crowded line: chains of pairs, none of which holds the lead.
+    rng = np.random.default_rng(7)
+    line = [f"line{i}" for i in range(30)]
+    texts = []
+    for _ in range(60):
+        base = line + [f"w{i}" for i in rng.integers(0, 10**9, 20)]
+        for k in range(3):
+            texts.append(" ".join(base[:-k] + [f"y{rng.integers(0, 10**9)}"] * k if k else base))
+    sets = [set(simhash.shingle_hashes(t).tolist()) for t in texts]
+    up = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                up = [up[j] if u == up[i] else u for u in up]
+    got = _similar_groups(spark, texts)
+    assert len(set(up)) == len(set(got.values())) and len(set(zip(up, got.values(), strict=True))) == len(set(up))
