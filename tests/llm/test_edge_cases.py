@@ -317,3 +317,21 @@ def test_similar_chains_without_an_original(spark):
                 up = [up[j] if u == up[i] else u for u in up]
     got = _similar_groups(spark, texts)
     assert len(set(up)) == len(set(got.values())) and len(set(zip(up, got.values(), strict=True))) == len(set(up))
+
+
+def _with_changed_middle(rng, n, pairs):
+    """Texts 2i and 2i+1 share a passage of n words but for its middle word, between words of their own."""
+    docs = []
+    for _ in range(pairs):
+        shared = [f"w{i}" for i in rng.integers(0, 10**9, n)]
+        for text in (shared, [*shared[:n // 2], "changed", *shared[n // 2 + 1:]]):
+            around = [f"w{i}" for i in rng.integers(0, 10**9, 80)]
+            docs.append(around[:40] + text + around[40:])
+    return docs
+
+
+def test_near_passages_are_found_by_some_signature(spark):
+    docs = _with_changed_middle(np.random.default_rng(8), 70, 100)
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    found = {r.doc_id for r in substring.repeated_passages(df).collect()}
+    assert len(found) >= 2 * 98
