@@ -335,3 +335,22 @@ def test_near_passages_are_found_by_some_signature(spark):
     df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
     found = {r.doc_id for r in substring.repeated_passages(df).collect()}
     assert len(found) >= 2 * 98
+
+
+def test_near_passages_are_compared_at_every_place(spark):
+    # The shortest passages that pass at all: one window, with one word changed in its middle.
+    docs = _with_changed_middle(np.random.default_rng(9), 50, 60)
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    got = {}
+    for r in substring.repeated_passages(df).collect():
+        got.setdefault(r.class_id, set()).add((r.doc_id, r.start_word, r.end_word))
+    exact = [{(2 * i, 40, 90), (2 * i + 1, 40, 90)} for i in range(60)]
+    assert sum(g in got.values() for g in exact) >= 57
+
+
+def test_alike_places():
+    rng = np.random.default_rng(10)
+    for _ in range(50):
+        a, b = rng.integers(0, 6, 40).tolist(), rng.integers(0, 6, 40).tolist()
+        sets = [(set(a[i:i + 9]), set(b[i:i + 9])) for i in range(32)]
+        assert list(substring.alike_places(a, b, 32, 9, 0.8)) == [i for i, (x, y) in enumerate(sets) if len(x & y) >= 0.8 * len(x | y)]
