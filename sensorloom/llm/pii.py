@@ -91,7 +91,7 @@ def _fits(kind: Column, value: Column, shape: Column) -> Column:
             .otherwise((shape == "number") & ~four & n.between(6, 15)))
 
 
-def bootstrap(found: DataFrame, rounds: int = 3, pattern_confidence: float = 0.6, instance_confidence: float = 0.8,
+def bootstrap(found: DataFrame, rounds: int = 100, pattern_confidence: float = 0.6, instance_confidence: float = 0.8,
               support: int = 3) -> DataFrame:
     """Values accepted beyond the base patterns: (value, kind, confidence), unique by value; staged.
 
@@ -100,13 +100,14 @@ def bootstrap(found: DataFrame, rounds: int = 3, pattern_confidence: float = 0.6
     values they surround and one more; those of `support` confident values and `pattern_confidence` vote for
     candidate values of a fitting shape, whose confidence is that not all votes are wrong. Candidates of
     `instance_confidence` become instances of the next round. Both scores are partial aggregations over
-    distinct edges, so neither a frequent value nor a frequent context gathers its occurrences.
+    distinct edges, so neither a frequent value nor a frequent context gathers its occurrences. Rounds end when the
+    accepted values, their kinds and confidences to six digits do not change; `rounds` is a safety bound, and to reach it is an error.
     """
     edges = staged(patterns(found))
     degree = staged(edges.groupBy("pattern").agg(F.count("*").alias("degree")).where(F.col("degree") >= support))
     shapes = staged(found.where(~F.col("kind").isin(KINDS)).select("value", F.col("kind").alias("shape")).distinct())
     seeds = staged(found.where(F.col("kind").isin(KINDS)).select("value", "kind").distinct().withColumn("confidence", F.lit(1.0)))
-    known, accepted = seeds, seeds.limit(0)
+    known, accepted, state = seeds, seeds.limit(0), None
     for _ in range(rounds):
         scores = edges.join(known, "value").groupBy("pattern", "kind").agg(F.sum("confidence").alias("weight"))
         good = staged(scores.join(degree, "pattern").withColumn("trust", F.col("weight") / (F.col("degree") + 1)).where(
@@ -119,9 +120,11 @@ def bootstrap(found: DataFrame, rounds: int = 3, pattern_confidence: float = 0.6
         before, accepted = accepted, staged(best)
         known = seeds.union(accepted)
         discard(before)
-        if good.isEmpty():
-            break
-    return accepted
+        discard(good)
+        last, state = state, accepted.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("value", "kind", F.round("confidence", 6))), F.lit(0))).first()
+        if state == last or not state[0]:
+            return accepted
+    raise RuntimeError(f"accepted values still change after {rounds} rounds")
 
 
 def scan(rows: DataFrame, text: str, row: str) -> DataFrame:

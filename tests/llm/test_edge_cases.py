@@ -354,3 +354,18 @@ def test_alike_places():
         a, b = rng.integers(0, 6, 40).tolist(), rng.integers(0, 6, 40).tolist()
         sets = [(set(a[i:i + 9]), set(b[i:i + 9])) for i in range(32)]
         assert list(substring.alike_places(a, b, 32, 9, 0.8)) == [i for i, (x, y) in enumerate(sets) if len(x & y) >= 0.8 * len(x | y)]
+
+
+def test_bootstrap_goes_on_while_values_are_accepted(spark):
+    # Three contexts a level hold its values and the fewer ones of the next, which are reached a round later.
+    levels, rows = [40, 19, 9, 4, 1], []
+    for j, n in enumerate(levels):
+        for i in range(n):
+            kind, value = "number" if j else "phone", f"{'+' if not j else ''}5{j}5000{i:03d}1"
+            for at in {j, max(j - 1, 0)}:
+                rows += [(value, kind, f"{c}{'abcdef'[at]}", "") for c in ("one", "two", "three")]
+    found = spark.createDataFrame(rows, "value string, kind string, before string, after string")
+    got = {r.value for r in pii.bootstrap(found).collect()}
+    assert {v for v, kind, *_ in rows if kind == "number"} <= got
+    with pytest.raises(RuntimeError):
+        pii.bootstrap(found, rounds=2)
