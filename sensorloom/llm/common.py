@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 from sensorloom.sources.staging import staging_dir
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,15 +23,30 @@ def staged(df: DataFrame) -> DataFrame:
     """Compute now, keep in the shared folder, go on from the written table.
 
     Lineage ends here: later steps read the table whichever executors are lost, and values such as row
-    numbers are the same for every reader.
+    numbers are the same for every reader. Shuffle files of the job are of no use then, so Spark is told to remove them.
     """
     path = f"{staging_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs that begin in here leave no shuffle files behind once they have ended."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that `staged` wrote, once all that was made from it is itself written."""
     spark, path = df.sparkSession, getattr(df, "_staged_at", None)
@@ -63,7 +83,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large and small stars. Every round is two aggregations and two joins over the edges. What a join
     reads is staged, so both its sides are exchanges and adaptive execution can split a crowded node; only the
     number of edges and their checksum reach the driver. Nodes without an edge are
-    not listed. An empty edge table gives an empty result.
+    not listed. An empty edge table gives an empty result. The result is staged.
     """
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _checksum(edges)
@@ -82,8 +102,10 @@ def components(edges: DataFrame) -> DataFrame:
         edges = after
         if state == before:
             break
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    out = staged(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
+    discard(edges)
+    return out
 
 
 def _checksum(edges: DataFrame) -> tuple[int, int]:

@@ -19,31 +19,40 @@ def normalised(column: str | Column) -> Column:
 
 
 def radix_classes(rows: DataFrame, first: int = 64, growth: int = 16) -> DataFrame:
-    """Rows (row, id, chars, data BINARY) -> (row, grp, id, chars) of every row whose bytes another row has too.
+    """Rows (row, data BINARY) -> (row, grp) of every row whose bytes another row has too; staged.
 
     Round by round the surviving groups are split by their next bytes: 64 at first, then 16 times as many
     each round, so a text of n bytes takes about log16(n / 64) rounds. Rows alone in their group leave, and
     so do groups whose texts ended; the bytes themselves decide, no digest does. A round counts (group,
-    bytes) with a partial aggregation, stages the groups of two or more, and joins them back to the rows: a
-    large group is a skewed key of a join between two exchanges, which adaptive execution splits.
+    bytes) with a partial aggregation and joins the groups of two or more back to (row, group, bytes) of that round
+    alone; the next bytes are read by row number for rows that are still in a group. No side of a join has a bound,
+    so all of them sort and merge between two exchanges, where adaptive execution splits a large group.
     """
-    level = rows.select("row", "id", "chars", F.lit(0).cast("long").alias("grp"), F.col("data").alias("rest"))
-    width, ended = first, []
+    def read(at: int, width: int) -> DataFrame:
+        return rows.select("row", F.expr(f"substring(data, {at + 1}, {width})").alias("head"),
+                           (F.octet_length("data") >= at + width).alias("more"))
+
+    at, width, ended, split = 0, first, [], None
+    cut = read(at, width).withColumn("grp", F.lit(0).cast("long"))
     while True:
-        cut = level.withColumn("head", F.substring("rest", 1, width))
         groups = staged(cut.groupBy("grp", "head").agg(F.min("row").alias("next"), F.count("*").alias("n")).where("n > 1").drop("n"))
-        if ended and groups.isEmpty():
-            break
-        split = staged(
-            cut.withColumn("rest", F.when(F.octet_length("head") == width, F.expr(f"substring(rest, {width + 1})")))
-            .join(groups, ["grp", "head"]).select("row", "id", "chars", F.col("next").alias("grp"), "rest"))
+        before, split = split, staged(cut.join(groups.hint("merge"), ["grp", "head"]).select("row", F.col("next").alias("grp"), "more"))
         discard(groups)
-        ended.append(split.where("rest IS NULL").select("row", "grp", "id", "chars"))
-        level = split.where("rest IS NOT NULL")
-        width *= growth
+        if before is not None:
+            discard(before)
+        ended.append(staged(split.where("NOT more").select("row", "grp")))
+        further = split.where("more").select("row", "grp")
+        if further.isEmpty():
+            break
+        at, width = at + width, width * growth
+        cut = read(at, width).join(further.hint("merge"), "row")
+    discard(split)
     out = ended[0]
     for part in ended[1:]:
         out = out.union(part)
+    out = staged(out)
+    for part in ended:
+        discard(part)
     return out
 
 
@@ -58,13 +67,17 @@ def exact_duplicates(rows: DataFrame, text: str = "text", doc_id: str = "doc_id"
     base = rows.select(
         F.col(row).alias("row"), F.col(doc_id).alias("id"), F.length(text_or_empty(text)).alias("chars"),
         normalised(text).cast("binary").alias("data"))
-    members = radix_classes(base)
+    classes = radix_classes(base.select("row", "data"))
+    members = staged(classes.join(base.select("row", "id", "chars").hint("merge"), "row"))
+    discard(classes)
     best = staged(members.groupBy("grp").agg(
         F.min(F.struct((-F.col("chars")).alias("c"), F.col("id").isNull().alias("z"), "id", "row")).alias("best"),
         F.count("*").alias("group_size")))
-    chosen = members.select("row", "grp").join(best, "grp").select(
-        "row", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
-    return base.select("row", "id", F.sha2("data", 256).alias("text_sha256")).join(chosen, "row", "left").select(
+    chosen = staged(members.select("row", "grp").join(best.hint("merge"), "grp").select(
+        "row", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size"))
+    discard(members)
+    discard(best)
+    return base.select("row", "id", F.sha2("data", 256).alias("text_sha256")).join(chosen.hint("merge"), "row", "left").select(
         "row", "id",
         F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("keep_row", "row").alias("keep_row"),
@@ -76,5 +89,6 @@ def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "do
     """The rows of `docs` that stay, with their own columns."""
     row = free_name(docs)
     rows = numbered(docs, row)
-    dropped = exact_duplicates(rows, text, doc_id, row).where("NOT kept").select(F.col("row").alias(row))
-    return rows.join(dropped, row, "left_anti").select(*own_columns(docs))
+    found = exact_duplicates(rows, text, doc_id, row)
+    dropped = staged(found.where("NOT kept").select(F.col("row").alias(row)))
+    return rows.join(dropped.hint("merge"), row, "left_anti").select(*own_columns(docs))

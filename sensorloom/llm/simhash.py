@@ -62,8 +62,7 @@ def _prefix(column: str, depth: int) -> Column:
     return F.shiftrightunsigned(column, 64 - depth)
 
 
-def trie_links(codes: DataFrame, budget: int = 2, leaf: int = 32, step: int = 6, first: int | None = None,
-               same: int = 0) -> DataFrame:
+def trie_links(codes: DataFrame, budget: int = 2, leaf: int = 32, step: int = 6) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints in `codes` (fp BIGINT, unique) that differ in at most `budget` bits.
 
     The trie of the fingerprints is joined with itself from the root. A row (node, fp, bits) says that fp
@@ -73,15 +72,15 @@ def trie_links(codes: DataFrame, budget: int = 2, leaf: int = 32, step: int = 6,
     further, so work follows real neighbours: a fingerprint hangs at no more nodes than lie within the
     budget, whatever the size of its group. The first descent is as deep as makes an even trie's nodes
     `leaf` large. Of two fingerprints only the larger one hangs at the other's node.
-    The first `same` bits must agree, so that many tries can be one.
+    The result is staged.
     """
     total = codes.count()
-    depth = first or min(63, max(1, math.ceil(math.log2(max(total, 1) / leaf)) if total > leaf else 1))
+    depth = min(63, max(1, math.ceil(math.log2(max(total, 1) / leaf)) if total > leaf else 1))
     owners = codes.select("fp", _prefix("fp", depth).alias("node"))
-    hung = codes.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in _masks(depth - same, budget)])).alias("m")).select(
+    hung = codes.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in _masks(depth, budget)])).alias("m")).select(
         "fp", _prefix("fp", depth).bitwiseXOR(F.col("m")).alias("node"), F.bit_count("m").alias("bits")
     ).where(F.col("node") <= _prefix("fp", depth))
-    found = []
+    found, used = [], []
     while True:
         crowded = staged(owners.groupBy("node").count().where(F.col("count") > 8 * leaf).select("node"))
         last = depth >= 63 or crowded.isEmpty()
@@ -93,6 +92,7 @@ def trie_links(codes: DataFrame, budget: int = 2, leaf: int = 32, step: int = 6,
                      .select("a", F.col("fp").alias("b")))
         if last:
             break
+        used.append(crowded)
         deeper = min(step, 63 - depth)
         depth += deeper
         owners = staged(owners.join(crowded, "node", "left_semi").select("fp", _prefix("fp", depth).alias("node")))
@@ -104,9 +104,13 @@ def trie_links(codes: DataFrame, budget: int = 2, leaf: int = 32, step: int = 6,
                 .where((F.col("bits") <= budget) & (F.col("node") <= _prefix("fp", depth)))
                 .join(owners.select("node").distinct(), "node", "left_semi"))
         hung = staged(hung.select("fp", "node", "bits"))
+        used += [owners, hung]
     out = found[0]
     for part in found[1:]:
         out = out.union(part)
+    out = staged(out)
+    for old in [crowded, *used]:
+        discard(old)
     return out
 
 
@@ -125,12 +129,15 @@ def simhash_groups(rows: DataFrame, text: str = "text", doc_id: str = "doc_id",
     prints = staged(prints) if row else numbered(prints, "row")
     best = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("best")
     codes = staged(prints.groupBy("fp").agg(best))
-    roots = components(trie_links(codes.select("fp"), budget))
+    links = trie_links(codes.select("fp"), budget)
+    roots = components(links)
     placed = codes.join(roots, codes["fp"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "best")
     smallest = staged(placed.groupBy("root").agg(F.min("best").alias("best")))
-    of_code = placed.select("fp", "root").join(smallest, "root").select(
-        "fp", F.col("best.id").alias("component_id"), F.col("best.row").alias("keep_row"))
+    of_code = staged(placed.select("fp", "root").join(smallest, "root").select(
+        "fp", F.col("best.id").alias("component_id"), F.col("best.row").alias("keep_row")))
+    for old in (links, roots, smallest, codes):
+        discard(old)
     return prints.join(of_code, "fp").select("row", "id", "fp", "component_id", "keep_row")
 
 
@@ -187,14 +194,13 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
                         late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
                         s = np.concatenate([s[~late], s[late]])
                     parts.append(s[:prefix_size(len(s), similarity)] if len(s) else s)
-                counts = np.array([len(x) for x in parts[1:]], np.int64)
-                token = np.concatenate(parts).astype(np.uint32).view(np.int32)
-                at = np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts)
+                counts = np.array([0, *(len(x) for x in parts[1:])], np.int64)
+                token = pa.array(np.concatenate(parts).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token), pa.array(np.repeat(batch.column("row").to_numpy(), counts)),
-                     pa.array(np.repeat(np.array(sizes, np.int32), counts)), pa.array(at.astype(np.int32))], ["token", "row", "size", "at"])
+                    [batch.column("row"), pa.array(np.array(sizes, np.int32)),
+                     pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), token)], ["row", "size", "tokens"])
 
-        return source.mapInArrow(cut, "token int, row long, size int, at int")
+        return source.mapInArrow(cut, "row long, size int, tokens array<int>")
 
     def alike(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs)
@@ -225,35 +231,48 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
     often = some.select(F.explode(hashes("text")).alias("h")).groupBy("h").count().where(F.col("count") >= OFTEN).select("h").toPandas()
     often = np.sort(often["h"].to_numpy(np.int64).view(np.uint64))
     every = staged(prefixes(often))
-    counts = staged(every.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
-    shared = staged(every.join(counts, "token"))
+    # Place and size travel as one number, and only with tokens that several rows have.
+    counts = staged(every.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
+    tokens = every.select("row", F.col("size").cast("long").alias("size"), F.posexplode("tokens").alias("at", "token")).select(
+        "token", "row", F.shiftleft("size", 32).bitwiseOR(F.col("at").cast("long")).alias("where"))
+    shared = staged(tokens.join(counts.hint("merge"), "token").select(
+        "token", "row", F.shiftright("where", 32).cast("int").alias("size"), F.col("where").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"), "n"))
     discard(every)
-    small, crowd = shared.where(F.col("n") <= GROUP), shared.where(F.col("n") > GROUP)
-    pairs = met(small, small, F.col("x.row") > F.col("y.row"))
-    links = alike(pairs)
-    if crowd.isEmpty():
-        return links
+    discard(counts)
+    small, crowd = shared.where(F.col("n") <= GROUP).drop("n"), shared.where(F.col("n") > GROUP).drop("n")
+    links = alike(met(small, small, F.col("x.row") > F.col("y.row")))
     places = staged(crowd.groupBy("row").agg(F.count("*").alias("places")))
-    crowd = staged(crowd.drop("n").join(places, "row"))
+    crowd = staged(crowd.join(places.hint("merge"), "row"))
+    discard(shared)
+    discard(places)
     for turn in count():
-        label = components(links).withColumnRenamed("node", "row")
-        members = staged(crowd.join(label, "row", "left").withColumn("label", F.coalesce("root", "row")).drop("root"))
-        apart = members.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(
-            (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("left")).where("left > 0")
-        apart = staged(apart)
-        left, rows_left = apart.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0] // 2, crowd.count()
-        if not left:
-            return links
-        members = staged(members.join(apart.select("token"), "token"))
-        differ = F.col("x.label") != F.col("y.label")
-        last = turn and (left <= GROUP * rows_left or not gained)
+        label = components(links)
+        members = staged(crowd.join(label.hint("merge").withColumnRenamed("node", "row"), "row", "left").withColumn(
+            "label", F.coalesce("root", "row")).drop("root"))
+        apart = staged(members.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(
+            (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("left")).where("left > 0"))
+        left = apart.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0] // 2
+        last = not left
+        if left:
+            rows_left = members.count()
+            old, members = members, staged(members.join(apart.select("token").hint("merge"), "token"))
+            discard(old)
+            differ = F.col("x.label") != F.col("y.label")
+            last = bool(turn) and (left <= GROUP * rows_left or not gained)
+            if last:
+                more = alike(met(members, members, differ, F.col("x.row") > F.col("y.row")))
+            else:
+                first = F.struct("places" if not turn else F.lit(0).alias("places"), F.xxhash64("row", F.lit(turn)).alias("h"))
+                leads = staged(members.groupBy("token").agg(F.max_by(F.struct("row", "size", "at", "label"), first).alias("l")).select("token", "l.*"))
+                more = alike(met(members, leads, differ))
+                discard(leads)
+                gained = not more.isEmpty()
+            links = links.union(more)
+        for old in (label, members, apart):
+            discard(old)
         if last:
-            return links.union(alike(met(members, members, differ, F.col("x.row") > F.col("y.row"))))
-        first = F.struct("places" if not turn else F.lit(0).alias("places"), F.xxhash64("row", F.lit(turn)).alias("h"))
-        leads = staged(members.groupBy("token").agg(F.max_by(F.struct("row", "size", "at", "label"), first).alias("l")).select("token", "l.*"))
-        more = alike(met(members, leads, differ))
-        gained = not more.isEmpty()
-        links = links.union(more)
+            discard(crowd)
+            return links
 
 
 def hexadecimal(fp: str) -> Column:
@@ -271,7 +290,10 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     found = simhash_groups(rows, text, doc_id, row=row)
     near = similar_links(rows, text, row, similarity)
     edges = found.where("row <> keep_row").select(F.col("row").alias("a"), F.col("keep_row").alias("b")).union(near)
-    groups = components(edges).join(found.select(F.col("row").alias("node"), "id"), "node")
+    roots = components(edges)
+    groups = staged(roots.join(found.select(F.col("row").alias("node"), "id"), "node"))
     best = staged(groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", F.col("node").alias("row"))).alias("best")))
-    dropped = groups.join(best, "root").where(F.col("node") != F.col("best.row")).select(F.col("node").alias(row))
-    return rows.join(dropped, row, "left_anti").select(*own_columns(docs))
+    dropped = staged(groups.join(best, "root").where(F.col("node") != F.col("best.row")).select(F.col("node").alias(row)))
+    for old in (roots, groups, best):
+        discard(old)
+    return rows.join(dropped.hint("merge"), row, "left_anti").select(*own_columns(docs))

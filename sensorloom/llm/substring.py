@@ -252,7 +252,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     of_window = staged(placed.join(passages.select("row", "passage", "number"), ["row", "passage"]).select("row", "first", "number"))
     edges = found.join(of_window.select("row", F.col("first").alias("at"), F.col("number").alias("a")), ["row", "at"]).join(
         of_window.select(F.col("row").alias("to_row"), F.col("first").alias("to_at"), F.col("number").alias("b")), ["to_row", "to_at"])
-    roots = staged(components(edges.select("a", "b")))
+    roots = components(edges.select("a", "b"))
     ids = rows.select("row", "id")
     out = staged(passages.join(roots, passages["number"] == roots["node"], "left").select(
         "row", "start_word", "end_word", F.coalesce("root", "number").alias("class_id")).join(ids, "row"))
