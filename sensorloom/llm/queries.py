@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import ann, bpe, chat_quotes, exact_dedup, packing, pii, simhash, substring, toxicity, warc
+from sensorloom.llm import ann, bpe, chat_quotes, exact_dedup, hard_negatives, packing, pii, simhash, substring, toxicity, warc, whitening
 from sensorloom.llm.common import numbered, table
 from sensorloom.sources.staging import staging_dir
 
@@ -139,3 +139,29 @@ def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations in reply order without quoted passages."""
     return chat_quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_hyperplane_negatives", """
+    WITH fine AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                         list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+                  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+         pairs AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same,
+                          CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+                   FROM fine a JOIN fine c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.x) = len(c.x)),
+         pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS nth FROM pairs WHERE same)
+                 WHERE nth <= 5),
+         neg AS (SELECT p.anchor_id, p.other AS positive_id, p.score AS positive_score, n.other AS negative_id, n.score AS negative_score,
+                        row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS nth
+                 FROM pos p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+                  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+    SELECT anchor_id, positive_id, CAST(nth AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE nth <= 3""")
+def op11_hyperplane_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each positive of every fiftieth vector among all vectors."""
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_rank_one_whitening")
+def op12_rank_one_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 16 whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
