@@ -35,9 +35,11 @@ def radix_classes(rows: DataFrame, first: int = 64, growth: int = 16) -> DataFra
     at, width, ended, split = 0, first, [], None
     cut = read(at, width).withColumn("grp", F.lit(0).cast("long"))
     while True:
+        cut = staged(cut)
         groups = staged(cut.groupBy("grp", "head").agg(F.min("row").alias("next"), F.count("*").alias("n")).where("n > 1").drop("n"))
         before, split = split, staged(cut.join(groups.hint("merge"), ["grp", "head"]).select("row", F.col("next").alias("grp"), "more"))
         discard(groups)
+        discard(cut)
         if before is not None:
             discard(before)
         ended.append(staged(split.where("NOT more").select("row", "grp")))
@@ -62,11 +64,11 @@ def exact_duplicates(rows: DataFrame, text: str = "text", doc_id: str = "doc_id"
     Texts are equal when identical without ASCII white space. Of equal texts the row with most code points
     stays, then the one with the smallest id, nulls last; of rows that repeat wholly, one of them stays.
     Null texts are empty texts, and empty texts equal each other. Null ids are allowed. Other columns are
-    not looked at. An empty table gives an empty result. The digest is output only.
+    not looked at. An empty table gives an empty result. The digest is output only. The result is staged.
     """
-    base = rows.select(
+    base = staged(rows.select(
         F.col(row).alias("row"), F.col(doc_id).alias("id"), F.length(text_or_empty(text)).alias("chars"),
-        normalised(text).cast("binary").alias("data"))
+        normalised(text).cast("binary").alias("data")).withColumn("text_sha256", F.sha2("data", 256)))
     classes = radix_classes(base.select("row", "data"))
     members = staged(classes.join(base.select("row", "id", "chars").hint("merge"), "row"))
     discard(classes)
@@ -77,12 +79,15 @@ def exact_duplicates(rows: DataFrame, text: str = "text", doc_id: str = "doc_id"
         "row", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size"))
     discard(members)
     discard(best)
-    return base.select("row", "id", F.sha2("data", 256).alias("text_sha256")).join(chosen.hint("merge"), "row", "left").select(
+    out = staged(base.select("row", "id", "text_sha256").join(chosen.hint("merge"), "row", "left").select(
         "row", "id",
         F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("keep_row", "row").alias("keep_row"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (F.coalesce("keep_row", "row") == F.col("row")).alias("kept"), "text_sha256")
+        (F.coalesce("keep_row", "row") == F.col("row")).alias("kept"), "text_sha256"))
+    discard(chosen)
+    discard(base)
+    return out
 
 
 def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

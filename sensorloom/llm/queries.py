@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import ann, bpe, chat_quotes, exact_dedup, hard_negatives, packing, pii, simhash, substring, toxicity, warc, whitening
+from sensorloom.llm import ann, bpe, chat_quotes, exact_dedup, hard_negatives, packing, pii, recurrent, simhash, substring, toxicity, warc, whitening
 from sensorloom.llm.common import numbered, table
 from sensorloom.sources.staging import staging_dir
 
@@ -165,3 +165,9 @@ def op11_hyperplane_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_rank_one_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the first 16 whitened components."""
     return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op13_recurrent_scores")
+def op13_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of every document under a recurrent model and under counts."""
+    return recurrent.log_likelihoods(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
