@@ -4,32 +4,37 @@ Every update of a vehicle is compared with the last known position of the others
 position is known from its own update to the vehicle's next one, so the comparison is a join of
 updates with position intervals:
 
-* on the route, the time slice and the grid cell, which keeps a busy route spread over many
-  tasks and leaves out vehicles that are elsewhere or were there at another time;
+* on the route, the grid cell and a node of time, which keeps a busy route spread over many tasks and
+  leaves out vehicles that are elsewhere or were there at another time;
 * then exactly on the interval and the great-circle distance.
 
-A cell is at least the distance wide, so a partner is in the update's cell or one of its eight
-neighbours. Cells of a band go round the globe, so the 180th meridian is no border, and a band near a
-pole is one cell.
+Time has levels, each with nodes four times as long as the one below. An interval is filed at the level whose
+nodes are just as long as itself, so it lies in two of them at most, whether it lasts a second or a month; an
+update looks into its own node of every level that its route uses. A vehicle has only a few intervals of one
+level in a node, so what is looked at follows what is found, at any mixture of reporting intervals.
+
+A cell is at least the distance wide, so a position is filed in its own cell and the eight around it. Cells of a
+band go round the globe, so the 180th meridian is no border, and a band near a pole is one cell.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sensorloom.functions.geo import EARTH_RADIUS_M, haversine
-from sensorloom.functions.times import micros, slice_number
+from sensorloom.functions.times import micros
 from sensorloom.functions.values import pair_key, round_half_up
-from sensorloom.operators.cooldown import SLICE_COOLDOWNS, emit_alerts, exit_tables, grouped, record_batch
+from sensorloom.operators.cooldown import SLICE_COOLDOWNS
+from sensorloom.operators.folds import fold_slices
 from sensorloom.operators.incidents import incident_id
 from sensorloom.operators.sequence import DEFAULT_SLICE
-from sensorloom.operators.slices import CARRY, SLICE, add_slice, neighbour_keys, ordering, running_number
+from sensorloom.operators.slices import SLICE, add_slice, neighbour_keys, ordering, running_number
 from sensorloom.sources.staging import materialize
 
 METRES_PER_DEGREE = math.pi * EARTH_RADIUS_M / 180.0
@@ -79,47 +84,62 @@ def positions(df: DataFrame, route: str = "route_id", bus: str = "bus_id", ts: s
     )
 
 
-def reporting_slice(known: DataFrame) -> int:
-    """Four median intervals between a bus's updates in microseconds, within 10 seconds and 6 hours."""
-    apart = F.unix_micros("next.ts") - F.unix_micros("ts")
-    median = known.where("next IS NOT NULL").agg(F.percentile_approx(apart, 0.5)).first()[0]
-    return min(max(4 * (median or 0), micros("10 seconds")), micros("6 hours"))
+LEVEL_STEP = 2  # a level's nodes are two to this power as long as those of the level below
+FINEST = 1_000_000  # microseconds of a node at level 0
+
+
+def time_level(length: Column) -> Column:
+    """The lowest level whose nodes are as long as `length` microseconds."""
+    above = F.ceil(F.log2(F.greatest(length, F.lit(1)) / F.lit(FINEST)) / LEVEL_STEP)
+    return F.greatest(above, F.lit(0)).cast("int")
+
+
+def time_node(us: Column, level: Column) -> Column:
+    size = F.call_function("shiftleft", F.lit(FINEST).cast("bigint"), (level * LEVEL_STEP).cast("int"))
+    return F.floor((us - F.pmod(us, size)) / size).cast("bigint")
+
+
+def held_intervals(known: DataFrame, ttl: str | None = None) -> DataFrame:
+    """Positions as intervals of time in which they are known: (route, level, from, until, p), one row each.
+
+    The last position of a vehicle is known up to the newest update of its route.
+    """
+    us = F.unix_micros("ts")
+    newest = known.groupBy("route").agg(F.max(us).alias("_end"))
+    until = F.coalesce(F.unix_micros("next.ts"), F.col("_end"))
+    if ttl is not None:
+        until = F.least(until, us + F.lit(micros(ttl)))
+    return known.join(newest, "route").select(
+        "route", us.alias("_from"), until.alias("_until"), F.struct("bus", "ts", "id", "lat", "lon", "n", "next").alias("p")
+    ).withColumn("_level", time_level(F.col("_until") - F.col("_from")))
+
+
+def filed(held: DataFrame, distance: float) -> DataFrame:
+    """Intervals in the nodes and cells at which updates look: two by nine rows for each at most."""
+    band, lon = _band(F.col("p.lat"), distance), F.col("p.lon")
+    nodes = F.sequence(time_node(F.col("_from"), F.col("_level")), time_node(F.col("_until"), F.col("_level")))
+    return held.select("route", "_level", F.explode(nodes).alias("_node"), "p").select(
+        "*", F.explode(F.array(*[band + d for d in (-1, 0, 1)])).alias("_band")).select(
+        "route", "_level", "_node", "_band",
+        F.explode(F.array_distinct(F.array(*[_strip(F.col("_band"), lon, distance, d) for d in (-1, 0, 1)]))).alias("_strip"), "p")
 
 
 def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None = None,
-                      join_slice: str = "auto", slice_width: str = DEFAULT_SLICE,
-                      **columns: str) -> DataFrame:
+                      slice_width: str = DEFAULT_SLICE, **columns: str) -> DataFrame:
     """One row for each (update, other bus of the route) less than `distance` metres apart.
 
     `step` counts the updates of both buses so far: two observations of a pair with consecutive
     steps have no update between them at which the pair was apart. `ttl` forgets positions; without
-    it they are kept until replaced. An update is compared with the positions held in its time slice, so the slice
-    should be a few reporting intervals: `auto` takes four times their median, at least 10 seconds and at most
-    6 hours, which runs a job when the query is built.
+    it they are kept until replaced. Positions are staged, which runs a job when the query is built.
     """
-    known = positions(df, slice_width=slice_width, **columns)
-    width = reporting_slice(known) if join_slice == "auto" else micros(join_slice)
+    known = materialize(positions(df, slice_width=slice_width, **columns))
+    held = held_intervals(known, ttl)
+    levels = held.groupBy("route").agg(F.collect_set("_level").alias("_levels"))
     band = _band(F.col("lat"), distance)
-    last = df.groupBy(F.coalesce(F.col(columns.get("route", "route_id")), F.lit("unknown")).alias("route")).agg(
-        F.max(slice_number(columns.get("ts", "ts"), width)).alias("_end")
-    )
-    first_slice = slice_number("ts", width)
-    until = F.coalesce(slice_number("next.ts", width), F.col("_end"))
-    if ttl is not None:
-        until = F.least(until, slice_number(
-            F.timestamp_micros(F.unix_micros("ts") + F.lit(micros(ttl))), width))
-    held = known.join(last, "route").select(
-        "route", F.explode(F.sequence(first_slice, until)).alias("_s"),
-        band.alias("_band"), _strip(band, F.col("lon"), distance).alias("_strip"),
-        F.struct("bus", "ts", "id", "lat", "lon", "n", "next").alias("p"),
-    )
-    near_band = F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: d + band))
-    looks = known.select("*", near_band.alias("_band")).select(
-        "route", slice_number("ts", width).alias("_s"), "_band",
-        F.explode(F.array_distinct(F.array(*[
-            _strip(F.col("_band"), F.col("lon"), distance, d) for d in (-1, 0, 1)]))).alias("_strip"),
-        F.struct("bus", "ts", "id", "lat", "lon", "n").alias("u"),
-    )
+    looks = known.join(levels, "route").select(
+        "route", F.explode("_levels").alias("_level"), band.alias("_band"), _strip(band, F.col("lon"), distance).alias("_strip"),
+        F.struct("bus", "ts", "id", "lat", "lon", "n").alias("u")
+    ).withColumn("_node", time_node(F.unix_micros("u.ts"), F.col("_level")))
     when = F.struct("u.ts", "u.id")
     holds = (F.struct("p.ts", "p.id") < when) & (F.col("p.next").isNull() | (when < F.col("p.next")))
     if ttl is not None:
@@ -127,7 +147,7 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
     metres = haversine("u.lat", "u.lon", "p.lat", "p.lon")
     # Both sides grow with the data, and size estimates do not see the copies made above; a sorted
     # merge spills and lets adaptive execution split a crowded cell.
-    met = looks.join(held.hint("merge"), ["route", "_s", "_band", "_strip"]).where(
+    met = looks.join(filed(held, distance).hint("merge"), ["route", "_level", "_node", "_band", "_strip"]).where(
         (F.col("u.bus") != F.col("p.bus")) & holds & (metres < distance)
     )
     u_first = F.col("u.bus") < F.col("p.bus")
@@ -159,57 +179,48 @@ def long_meetings(near: DataFrame, duration_us: int, slice_width: str = DEFAULT_
     return numbered.join(meetings, [*keys, "episode"])
 
 
-# A group of the split fold: a route, a slice of time, and within it the rows from one ruled row to
-# the next.
-_GROUP = ["route", SLICE, "_part"]
-
-
-def _rule(pause_us: int):
-    """Walk a route's groups in order and rule on the row that opens each.
+class BunchingFold:
+    """Which observations of a route alert, in order: the route's pause, and for each pair that alerted its restarted clock.
 
-    Input per group: its opening row, if it has one (`_kind` 0), then its exit table (`_kind` 1).
-    Emits (group, last alert before the group's plain rows, whether the opening row alerts).
+    The state is the last alert and the clocks that can still hold a row back.
     """
 
-    def run(batches):
-        out, schema, route, last, alerted = [], None, None, None, set()
-        verdict, open_group = False, None
-
-        def close():
-            if open_group is not None and (last_at_open is not None or verdict):
-                out.append((*open_group, last_at_open, verdict))
-
-        last_at_open, done = None, True
-        for new, key, part in grouped(batches, _GROUP):
-            if schema is None:
-                schema = pa.schema([*[part.schema.field(c) for c in _GROUP],
-                                    pa.field("_us", pa.int64()), pa.field("_alerts", pa.bool_())])
-            if new:
-                close()
-                if len(out) >= 50_000:
-                    yield record_batch(out, schema)
-                    out = []
-                if open_group is None or key[0] != route:
-                    route, last, alerted = key[0], None, set()
-                open_group, verdict, last_at_open, done = key, False, last, False
-            begin = 0
-            if part.column("_kind")[0].as_py() == 0:
-                row = {c: part.column(c)[0].as_py() for c in ("_us", "pair", "step", "_q_step")}
-                blocked = (row["pair"], row["_q_step"]) in alerted
-                if not blocked and (last is None or row["_us"] - last > pause_us):
-                    verdict, last = True, row["_us"]
-                    alerted.add((row["pair"], row["step"]))
-                last_at_open, begin = last, 1
-            if begin < part.num_rows and not done:
-                entry = part.column("entry").slice(begin).to_numpy(zero_copy_only=False)
-                k = 0 if last is None else int(np.searchsorted(entry, last + pause_us, side="right"))
-                if k < len(entry):
-                    last, done = int(part.column("exit")[begin + k].as_py()), True
-        close()
-        if out:
-            yield record_batch(out, schema)
-
-    return run
+    columns = ("_us", "pair", "episode", "_since", "_again")
+
+    def __init__(self, duration_us: int, pause_us: int):
+        self.duration, self.pause = duration_us, pause_us
+
+    def start(self):
+        return [None, {}]
+
+    def advance(self, state, part: pa.RecordBatch) -> list[int]:
+        """The rows that alert; changes the state."""
+        us, hits, i = part.column("_us").to_numpy(), [], 0
+        while True:
+            if state[0] is not None:
+                i = max(i, int(np.searchsorted(us, state[0] + self.pause, side="right")))
+            if i >= len(us):
+                return hits
+            pair, episode, began, again = (part.column(c)[i].as_py() for c in self.columns[1:])
+            clock = state[1].get(pair)
+            if clock and clock[0] == episode:
+                began = max(began, clock[1])
+            if int(us[i]) - began > self.duration:
+                hits.append(i)
+                state[0] = int(us[i])
+                if again is None:
+                    state[1].pop(pair, None)
+                else:
+                    state[1][pair] = (episode, again)
+            i += 1
+
+    def leave(self, state, end_us: int) -> str:
+        """The state as rows from `end_us` on see it, as text; states that act alike read alike."""
+        last = state[0] if state[0] is not None and end_us - state[0] <= self.pause else None
+        return json.dumps([last, {p: c for p, c in sorted(state[1].items()) if end_us - c[1] <= self.duration}])
+
+    def enter(self, text: str):
+        return json.loads(text)
 
 
 def bunching_alerts(near: DataFrame, duration: str = "300 seconds", pause: str = "600 seconds",
@@ -217,75 +228,22 @@ def bunching_alerts(near: DataFrame, duration: str = "300 seconds", pause: str =
     """Near observations at which a bunching alert is raised, with `_length` of the meeting.
 
     A pair must have been together longer than `duration`; the pause is per route, and an alert
-    restarts its pair's clock. The restart matters to few rows. With the pause at least as long as
-    the duration, a row is held back by its pair's restarted clock, and not by the pause anyway,
-    only if the pair's last observation more than `duration` before it was the alert and lies more
-    than `pause` before it: the pair was seen together before and after a gap longer than pause
-    less duration. Rows after and before such gaps are ruled on one by one, in order; all others
-    obey the pause alone, and their fold is split over slices as in `cooldown`.
+    restarts its pair's clock: it runs again from the pair's next observation. The fold over a route
+    is `fold_slices` over (route, slice), with a slice many times as long as the pause and the duration.
     """
     d, c = micros(duration), micros(pause)
-    if c < d:
-        raise ValueError("the pause must be at least as long as the duration")
-    width = c * SLICE_COOLDOWNS if route_slice == "auto" else micros(route_slice)
-    columns = near.columns
+    width = max(c, d) * SLICE_COOLDOWNS if route_slice == "auto" else micros(route_slice)
     meetings = long_meetings(materialize(near), d, slice_width)
-    past = materialize(_with_gaps(meetings, d, c, slice_width).withColumn(SLICE, slice_number("ts", width)))
-    in_order = Window.partitionBy("route", SLICE).orderBy("_us", "id", "pair")
-    rows = past.withColumn(
-        "_part", F.count_if("_ruled").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    types = rows.schema
-    group_types = [types[g] for g in _GROUP]
-    longs = [T.StructField(n, T.LongType()) for n in ("entry", "exit")]
-    tables = rows.where(~F.col("_ruled")).select(*_GROUP, "_us").repartition(*_GROUP).sortWithinPartitions(
-        *_GROUP, "_us"
-    ).mapInArrow(exit_tables(_GROUP, c), T.StructType([*group_types, *longs]))
-    openings = rows.where("_ruled").select(*_GROUP, "_us", "pair", "step", "_q_step", F.lit(0).alias("_kind"))
-    steps = openings.unionByName(tables.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-    verdicts = steps.repartition("route").sortWithinPartitions(*_GROUP, "_kind", "entry").mapInArrow(
-        _rule(c), T.StructType([*group_types, T.StructField("_us", T.LongType()), T.StructField("_alerts", T.BooleanType())])
-    )
-    ready = rows.withColumn("_carried", F.lit(False)).unionByName(
-        verdicts.withColumn("_carried", F.lit(True)), allowMissingColumns=True
-    )
-    kept = [*columns, "since", "episode", "_again"]
-    alerts = ready.repartition(*_GROUP).sortWithinPartitions(
-        *_GROUP, F.col("_carried").desc(), F.col("_ruled").desc(), "_us", "id", "pair"
-    ).mapInArrow(emit_alerts(_GROUP, c, kept, ruled=True), T.StructType([types[k] for k in kept]))
+    observed = neighbour_keys(add_slice(meetings, "ts", slice_width), ["route", "pair", "episode"], ["step", "ts"])
+    rows = observed.select(
+        *near.columns, "episode", F.unix_micros("ts").alias("_us"), F.unix_micros("since").alias("_since"),
+        F.unix_micros("_next.ts").alias("_again"),
+    ).where(F.col("_us") - F.col("_since") > d)
+    alerts = fold_slices(rows, ["route"], "_us", ["id", "pair"], width, BunchingFold(d, c))
     # The clock of a pair that has alerted before in the meeting runs from its next observation.
     meeting = Window.partitionBy("route", "pair", "episode").orderBy("step")
-    started = F.coalesce(F.lag("_again").over(meeting), F.col("since"))
-    return alerts.select(*columns, (F.unix_micros("ts") - F.unix_micros(started)).alias("_length"))
-
-
-def _with_gaps(meetings: DataFrame, duration_us: int, pause_us: int, slice_width: str) -> DataFrame:
-    """Observations more than the duration into their meeting, with `_us`, `_again` (time of the
-    pair's next observation), `_q_step` and `_ruled`.
-
-    `_q_step` is the step of the pair's last observation more than the duration earlier. It is the
-    one before the first observation in the duration up to the row, so a row looks back only as
-    far as the duration; rows that close to the end of a slice are copied into the next.
-    """
-    keys, width = ["route", "pair", "episode"], micros(slice_width)
-    if duration_us > width:
-        raise ValueError("a slice must not be shorter than the duration")
-    places = neighbour_keys(add_slice(meetings, "ts", slice_width), keys, ["step", "ts"]).withColumn(
-        "_us", F.unix_micros("ts")
-    )
-    reach = F.pmod("_us", F.lit(width)) >= width - duration_us
-    copies = places.where(reach).withColumn(SLICE, F.col(SLICE) + 1).withColumn(CARRY, F.lit(True))
-    frame = Window.partitionBy(*keys, SLICE).orderBy("_us").rangeBetween(-duration_us, 0)
-    looked = places.withColumn(CARRY, F.lit(False)).unionByName(copies).withColumn(
-        "_opening", F.min(F.struct("step", "_prev")).over(frame)
-    ).where(~F.col(CARRY) & (F.col("_us") - F.unix_micros("since") > duration_us))
-    held_back = F.col("_us") - F.unix_micros("_opening._prev.ts") > pause_us
-    before_gap = F.unix_micros("_next.ts") - F.col("_us") > pause_us - duration_us
-    return looked.select(
-        *meetings.columns, "_us", F.col("_next.ts").alias("_again"),
-        (F.col("_opening.step") - 1).alias("_q_step"),
-        F.coalesce(held_back | before_gap, F.lit(False)).alias("_ruled"),
-    )
+    started = F.coalesce(F.lag("_again").over(meeting), F.col("_since"))
+    return alerts.select(*near.columns, (F.col("_us") - started).alias("_length"))
 
 
 def bunching_alert_rows(alerts: DataFrame, distance: float, duration: str) -> DataFrame:
@@ -311,8 +269,8 @@ def bunching_alert_rows(alerts: DataFrame, distance: float, duration: str) -> Da
 
 
 def bus_bunching(df: DataFrame, distance: float = 200.0, duration: str = "300 seconds",
-                 pause: str = "600 seconds", ttl: str | None = None, join_slice: str = "1 hour",
+                 pause: str = "600 seconds", ttl: str | None = None,
                  slice_width: str = DEFAULT_SLICE, **columns: str) -> DataFrame:
     """Medium alert when two buses of a route stay within `distance` for longer than `duration`."""
-    near = near_observations(df, distance, ttl, join_slice, slice_width, **columns)
+    near = near_observations(df, distance, ttl, slice_width, **columns)
     return bunching_alert_rows(bunching_alerts(near, duration, pause, slice_width), distance, duration)

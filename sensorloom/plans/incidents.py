@@ -90,7 +90,7 @@ near AS (SELECT * FROM pairs WHERE d < 500)"""
 
 
 def near(spark, sf):
-    return proximity.near_observations(shape(spark, sf, "bus"), 500.0, join_slice="6 hours", slice_width="2 days")
+    return proximity.near_observations(shape(spark, sf, "bus"), 500.0, slice_width="2 days")
 
 
 @query("proximity_pairs", check_views("bus") + "," + _NEAR_CHECK + """
