@@ -153,7 +153,8 @@ def shingle_hashes(text: str, width: int = 5, seed: int = 42) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends[width - 1:], strict=False)], np.uint64))
 
 
-GROUP = 32  # rows of one shingle that are proposed all with all at once
+GROUP = 4  # rows of one shingle that are proposed all with all at once; of more, each meets a lead first
+LEFT = 8  # comparisons for each row at which the rest is compared all with all
 SAMPLE, OFTEN = 8192, 8  # rows looked at for frequent shingles, and in how many of them a shingle is frequent
 
 
@@ -171,7 +172,7 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
     otherwise; it decides how many pairs are proposed, never which are found. Tokens are 32 bits of a
     hash, and pairs are compared by whole hashes. Sizes and places of the shared shingle rule out most pairs.
 
-    Up to 32 rows of one shingle are proposed all with all. A crowded shingle's rows meet one lead first, the row in
+    Up to `GROUP` rows of one shingle are proposed all with all. A crowded shingle's rows meet one lead first, the row in
     most crowded shingles, which is what copies were made from; then only rows that are not yet connected are left to
     compare. While these are many and leads still connect some, other leads follow; at last all pairs of rows
     of a shingle that are not connected are compared. Wordless texts are not linked.
@@ -258,7 +259,7 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
             old, members = members, staged(members.join(apart.select("token").hint("merge"), "token"))
             discard(old)
             differ = F.col("x.label") != F.col("y.label")
-            last = bool(turn) and (left <= GROUP * rows_left or not gained)
+            last = bool(turn) and (left <= LEFT * rows_left or not gained)
             if last:
                 more = alike(met(members, members, differ, F.col("x.row") > F.col("y.row")))
             else:
