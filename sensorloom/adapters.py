@@ -98,6 +98,17 @@ FROM (
     END AS body
   FROM (SELECT *, CAST(floor(event_id / 4) AS BIGINT) % 25 AS fault FROM ev) numbered
 ) filled""",
+    # Messages of an incident topic: any of three detectors' keys, times missing, empty or in another field, and broken text.
+    "incident_messages": """
+SELECT event_id, 'incidents' AS topic, CAST(event_id % 3 AS INTEGER) AS partition, event_id AS offset,
+  CASE WHEN event_id % 17 = 0 THEN concat('{"incident_type": ', event_id)
+       ELSE concat('{"incident_id": "I', event_id, '", "incident_type": "', event_type, '", "severity": "',
+    CASE event_id % 3 WHEN 0 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' ELSE 'CRITICAL' END, '", "description": "reading ', k, '"',
+    CASE event_id % 4 WHEN 0 THEN concat(', "sensor_id": "S', user_id, '"') WHEN 1 THEN concat(', "sensor_id": "", "junction_id": "J', user_id, '"')
+         WHEN 2 THEN concat(', "route_id": "R', user_id, '"') ELSE ', "sensor_id": null' END,
+    CASE event_id % 5 WHEN 0 THEN concat(', "timestamp": "', iso, '"') WHEN 1 THEN concat(', "timestamp": "", "event_timestamp": "', iso, '"')
+         WHEN 2 THEN concat(', "event_timestamp": "', iso, '"') WHEN 3 THEN ', "event_timestamp": ""' ELSE '' END, '}') END AS value
+FROM ev""",
     # Status lines of streaming processes, in the forms their programs print.
     "logs": """
 SELECT event_id, ts, k, form, big,

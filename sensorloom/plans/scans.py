@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sensorloom import schemas
@@ -12,7 +14,8 @@ from sensorloom.operators import filters, joins
 from sensorloom.plans.registry import query, rounded
 from sensorloom.sinks import relational
 from sensorloom.sinks.topics import to_envelope
-from sensorloom.sources import topics
+from sensorloom.sources import offsets, topics
+from sensorloom.sources.staging import staging_dir
 
 ENVELOPE_COLUMNS = ["topic", "partition", "offset"]
 
@@ -46,6 +49,18 @@ def tail_total(spark, sf):
     return topics.tail_total(shape(spark, sf, "envelope"), 250).select(*ENVELOPE_COLUMNS, "key")
 
 
+@query("tail_indexed", check_views("envelope") + """,
+h AS (SELECT topic, partition, max(offset) + 1 AS high FROM envelope GROUP BY topic, partition)
+SELECT topic, partition, e.offset AS offset, key FROM envelope e JOIN h USING (topic, partition)
+WHERE topic IN ('bus_gps', 'smart_meters') AND e.offset >= h.high - 100""")
+def tail_indexed(spark, sf):
+    """Topics written to a folder, and their tails by the index of its files."""
+    folder = f"{staging_dir(spark)}/topic-{uuid.uuid4().hex}"
+    rows = shape(spark, sf, "envelope").select("key", "value", "topic", "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"))
+    offsets.write_topic(rows, folder, 20)
+    return offsets.tail_of(spark, folder, ["bus_gps", "smart_meters"], n=100).select(*ENVELOPE_COLUMNS, "key")
+
+
 @query("capped_sample", check_views("envelope") + """
 SELECT topic, partition, offset, key FROM envelope ORDER BY topic, partition, offset LIMIT 5000""")
 def capped_sample(spark, sf):
@@ -129,6 +144,20 @@ for _stream, _columns in _TABLE_COLUMNS.items():
     _register_projection(_stream, _columns)
 
 
+@query("ingest_project_incidents", check_views("incident_messages") + """
+SELECT coalesce(TRY_CAST(nullif(json_extract_string(value, '$.timestamp'), '') AS TIMESTAMP),
+                TRY_CAST(nullif(json_extract_string(value, '$.event_timestamp'), '') AS TIMESTAMP), TIMESTAMP '2024-02-01 00:00:00') AS timestamp,
+       json_extract_string(value, '$.incident_id') AS incident_id, json_extract_string(value, '$.incident_type') AS incident_type,
+       json_extract_string(value, '$.severity') AS severity,
+       coalesce(nullif(json_extract_string(value, '$.sensor_id'), ''), nullif(json_extract_string(value, '$.junction_id'), ''),
+                nullif(json_extract_string(value, '$.route_id'), '')) AS key_id,
+       json_extract_string(value, '$.description') AS description
+FROM incident_messages WHERE json_valid(value)""")
+def ingest_project_incidents(spark, sf):
+    at = F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+    return relational.project(shape(spark, sf, "incident_messages"), "incidents", at)
+
+
 # ---- filters -------------------------------------------------------------------------------
 
 @query("filter_not_null", check_views("air") + "SELECT event_id, sensor_id, aqi FROM air WHERE aqi IS NOT NULL")

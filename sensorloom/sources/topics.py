@@ -6,7 +6,7 @@ A topic is read from a broker when `bootstrap` is given, and otherwise from file
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from sensorloom.functions.times import event_date, parse_iso
 
 
 def broker_options(bootstrap: str, topics: list[str], starting: str = "latest") -> dict[str, str]:
-    """Options of a broker source that tolerates expired offsets."""
+    """Options of a broker source that tolerates expired offsets; `starting` may be JSON of offsets by partition (see `offsets`)."""
     return {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": ",".join(topics),
@@ -90,10 +90,8 @@ def tail_total(envelope: DataFrame, total: int, topic: str = "topic",
                offset: str = "offset") -> DataFrame:
     """About `total` newest records of a topic: max(total // partitions, 1) from each partition."""
     heads = envelope.groupBy(topic, "partition").agg((F.max(offset) + 1).alias("_high"))
-    share = heads.groupBy(topic).agg(
-        F.greatest(F.floor(F.lit(total) / F.count("*")), F.lit(1)).alias("_each")
-    )
-    keys, bounds = [topic, "partition"], heads.join(share, topic)
+    share = F.greatest(F.floor(F.lit(total) / F.count("*").over(Window.partitionBy(topic))), F.lit(1))
+    keys, bounds = [topic, "partition"], heads.withColumn("_each", share)
     return envelope.join(bounds, keys).where(
         F.col(offset) >= F.col("_high") - F.col("_each")
     ).drop("_high", "_each")

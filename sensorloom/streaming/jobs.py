@@ -127,8 +127,9 @@ def detect_incidents(envelope: DataFrame, checkpoint: str, delay: str = INCIDENT
 
 def ingest_tables(envelope: DataFrame, write, checkpoint: str, streams: list[str] | None = None, commit=None,
                   available_now: bool = False) -> StreamingQuery:
-    """Relational ingest of several topics in one query; with `commit`, a repeated batch is not inserted twice."""
-    writer = envelope.writeStream.foreachBatch(relational.ingest_batch(write, streams, commit)).option(
+    """Relational ingest of several topics in one query, each row once; the log of batches lies beside the checkpoint."""
+    put = relational.ingest_batch(write, streams, commit, log=f"{checkpoint}-batches")
+    writer = envelope.writeStream.foreachBatch(put).option(
         "checkpointLocation", checkpoint
     ).queryName("relational_ingest")
     if available_now:
