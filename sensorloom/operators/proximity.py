@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom.functions.geo import EARTH_RADIUS_M, haversine
 from sensorloom.functions.times import micros
@@ -185,7 +186,8 @@ class BunchingFold:
     The state is the last alert and the clocks that can still hold a row back.
     """
 
-    columns = ("_us", "pair", "episode", "_since", "_again")
+    columns = ("pair", "episode", "_since", "_again")
+    extra = T.StructType([])
 
     def __init__(self, duration_us: int, pause_us: int):
         self.duration, self.pause = duration_us, pause_us
@@ -193,15 +195,15 @@ class BunchingFold:
     def start(self):
         return [None, {}]
 
-    def advance(self, state, part: pa.RecordBatch) -> list[int]:
-        """The rows that alert; changes the state."""
+    def advance(self, state, part: pa.RecordBatch) -> tuple[list[int], list]:
+        """The rows that alert, and no columns with them; changes the state."""
         us, hits, i = part.column("_us").to_numpy(), [], 0
         while True:
             if state[0] is not None:
                 i = max(i, int(np.searchsorted(us, state[0] + self.pause, side="right")))
             if i >= len(us):
-                return hits
-            pair, episode, began, again = (part.column(c)[i].as_py() for c in self.columns[1:])
+                return hits, []
+            pair, episode, began, again = (part.column(c)[i].as_py() for c in self.columns)
             clock = state[1].get(pair)
             if clock and clock[0] == episode:
                 began = max(began, clock[1])

@@ -90,7 +90,7 @@ def test_bunching_stream_equals_batch(spark, tmp_path):
     got = finish(processors.bus_bunching_stream(
         stream(spark, str(tmp_path / "in"), buses.schema).withWatermark("ts", "30 seconds"),
         distance=800.0, pause="1 day"), tmp_path)
-    want = proximity.bus_bunching(buses, distance=800.0, pause="1 day", join_slice="6 hours")
+    want = proximity.bus_bunching(buses, distance=800.0, pause="1 day")
     assert want.count() > 10
     same(got.drop("threshold"), want.drop("threshold"),
          [c for c in COMMON if c != "threshold"] + ["bus_id_1", "bus_id_2", "distance_metres", "duration_seconds",
