@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import discard, numbered, own_columns, staged, text_or_empty
+from sensorloom.llm.common import discard, free_name, numbered, own_columns, staged, text_or_empty
 
 # Kinds in the order in which they are listed.
 KINDS = ["email", "ip", "card", "phone"]
@@ -177,23 +177,24 @@ def mask(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     Overlapping spans become one mark, of the kind that begins first. Texts without spans are unchanged, null
     texts stay null. Where the table has `n_chars`, it is counted anew for texts that changed.
     """
-    rows = numbered(docs, "_pii_row")
-    spans = personal_spans(rows, text, "_pii_row", **options)
+    row, found = free_name(docs, "_pii_row"), free_name(docs, "_pii_runs")
+    rows = numbered(docs, row)
+    spans = personal_spans(rows, text, row, **options)
     order = Window.partitionBy("row").orderBy("start", "end", "kind")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     begun = spans.withColumn("new", F.coalesce((F.col("start") >= reach).cast("int"), F.lit(1)))
     runs = begun.withColumn("run", F.sum("new").over(order)).groupBy("row", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "kind")).alias("kind"))
-    held = runs.groupBy(F.col("row").alias("_pii_row")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("_pii_runs"))
+    held = runs.groupBy(F.col("row").alias(row)).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias(found))
     whole = F.col(f"`{text}`")
-    kept = F.transform("_pii_runs", lambda r, i: F.concat(
-        F.substring(whole, F.coalesce(F.get("_pii_runs", i - 1)["end"], F.lit(0)).cast("int") + 1,
-                    (r["start"] - F.coalesce(F.get("_pii_runs", i - 1)["end"], F.lit(0))).cast("int")),
+    kept = F.transform(found, lambda r, i: F.concat(
+        F.substring(whole, F.coalesce(F.get(found, i - 1)["end"], F.lit(0)).cast("int") + 1,
+                    (r["start"] - F.coalesce(F.get(found, i - 1)["end"], F.lit(0))).cast("int")),
         F.lit("["), F.upper(r["kind"]), F.lit("]")))
-    tail = F.substring(whole, F.element_at("_pii_runs", -1)["end"].cast("int") + 1, F.length(whole))
-    masked = F.when(F.col("_pii_runs").isNull(), whole).otherwise(F.concat(F.array_join(kept, ""), tail))
-    out = rows.join(held, "_pii_row", "left").withColumn(text, masked)
+    tail = F.substring(whole, F.element_at(found, -1)["end"].cast("int") + 1, F.length(whole))
+    masked = F.when(F.col(found).isNull(), whole).otherwise(F.concat(F.array_join(kept, ""), tail))
+    out = rows.join(held, row, "left").withColumn(text, masked)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_pii_runs").isNull(), F.col("n_chars")).otherwise(F.length(F.col(f"`{text}`")).cast("long")))
+        out = out.withColumn("n_chars", F.when(F.col(found).isNull(), F.col("n_chars")).otherwise(F.length(F.col(f"`{text}`")).cast("long")))
     return out.select(*own_columns(docs))
