@@ -159,6 +159,23 @@ def code_blocks(blocks: DataFrame, counts: DataFrame, words: Vocabulary) -> Data
 
 # -- The model --------------------------------------------------------------------------------------------------------------
 
+def softmax(logits: np.ndarray, target: np.ndarray, weight: float) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of targets, and gradients of their negative sum by `weight`; overwrites nothing."""
+    rows = np.arange(len(logits))
+    with np.errstate(over="ignore"):
+        e = np.exp(logits)
+        total = e.sum(1)
+    if not (np.isfinite(total) & (total > 1e-30)).all():
+        logits = logits - logits.max(1, keepdims=True)
+        e = np.exp(logits)
+        total = e.sum(1)
+    logp = logits[rows, target] - np.log(total)
+    if weight:
+        e *= (logits.dtype.type(weight) / total)[:, None]
+        e[rows, target] -= logits.dtype.type(weight)
+    return logp, e
+
+
 class Model:
     """A gated recurrent unit over token codes; P(token) = P(class | state) P(word | class, state).
 
@@ -203,38 +220,44 @@ class Model:
     def states(self, codes: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """States after each of the steps (steps, lanes, hidden) from `h`; `fresh` marks where a document begins."""
         n = self.hidden
-        x = self.p["embed"][codes]
-        pre = x @ self.p["wx"] + self.p["b"]
-        out = np.empty_like(x)
-        before, gates, news, turned = np.empty_like(x), np.empty((*x.shape[:2], 2 * n), np.float32), np.empty_like(x), np.empty_like(x)
-        wh = self.p["wh"]
+        inputs = self.p["embed"][codes]
+        pre = inputs @ self.p["wx"]
+        pre += self.p["b"]
+        out, before, news, turned = (np.empty_like(inputs) for _ in range(4))
+        gates = np.empty((*inputs.shape[:2], 2 * n), inputs.dtype)
+        wh, opens = self.p["wh"], fresh.any(1)
         with np.errstate(over="ignore"):
             for t in range(len(codes)):
-                if fresh[t].any():
-                    h = np.where(fresh[t, :, None], np.float32(0), h)
                 before[t] = h
-                g = h @ wh
-                gates[t] = 1 / (1 + np.exp(-(pre[t, :, :2 * n] + g[:, :2 * n])))
+                if opens[t]:
+                    before[t, fresh[t]] = 0
+                g = before[t] @ wh
                 turned[t] = g[:, 2 * n:]
-                news[t] = 2 / (1 + np.exp(-2 * (pre[t, :, 2 * n:] + gates[t, :, n:] * turned[t]))) - 1
-                h = news[t] + gates[t, :, :n] * (h - news[t])
-                out[t] = h
-        return out, (x, before, gates, news, turned)
+                x = pre[t, :, :2 * n] + g[:, :2 * n]
+                np.exp(np.negative(x, out=x), out=x)
+                x += 1
+                np.reciprocal(x, out=gates[t])
+                x = gates[t, :, n:] * turned[t]
+                x += pre[t, :, 2 * n:]
+                x *= -2
+                np.exp(x, out=x)
+                x += 1
+                np.divide(2, x, out=news[t])
+                news[t] -= 1
+                h = out[t]
+                np.subtract(before[t], news[t], out=h)
+                h *= gates[t, :, :n]
+                h += news[t]
+        return out, (inputs, before, gates, news, turned)
 
     def outputs(self, h: np.ndarray, target: np.ndarray, weight: float = 0.0):
         """Log probabilities of targets (rows of h), and with `weight` the gradients of their negative sum by that weight."""
         cls = np.where(target < self.head, target // self.width, self.head_classes + target - self.head)
-        logits = h @ self.p["wc"] + self.p["bc"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        rows = np.arange(len(h))
-        logp = logits[rows, cls] - np.log(total)
-        grads, dh, scale = {}, None, np.float32(weight)
+        logits = h @ self.p["wc"]
+        logits += self.p["bc"]
+        logp, e = softmax(logits, cls, weight)
+        grads, dh = {}, None
         if weight:
-            e /= total[:, None]
-            e[rows, cls] -= 1
-            e *= scale
             grads["wc"], grads["bc"], dh = h.T @ e, e.sum(0), e @ self.p["wc"].T
             grads["ww"], grads["bw"] = np.zeros_like(self.p["ww"]), np.zeros_like(self.p["bw"])
         order = np.argsort(cls, kind="stable")
@@ -245,16 +268,11 @@ class Model:
                 continue
             part = slice(c * self.width, (c + 1) * self.width)
             hc, w = h[own], self.p["ww"][part]
-            inner = hc @ w.T + self.p["bw"][part]
-            inner -= inner.max(1, keepdims=True)
-            e = np.exp(inner)
-            total = e.sum(1)
-            i, word = np.arange(len(own)), target[own] - c * self.width
-            logp[own] += inner[i, word] - np.log(total)
+            inner = hc @ w.T
+            inner += self.p["bw"][part]
+            more, e = softmax(inner, target[own] - c * self.width, weight)
+            logp[own] += more
             if weight:
-                e /= total[:, None]
-                e[i, word] -= 1
-                e *= scale
                 grads["ww"][part], grads["bw"][part] = e.T @ hc, e.sum(0)
                 dh[own] += e @ w
         return logp, grads, dh
@@ -266,17 +284,23 @@ class Model:
         _, grads, dout = self.outputs(out[used], target[used], weight)
         dstate = np.zeros_like(out)
         dstate[used] = dout
-        dg, dx = np.empty((*codes.shape, 3 * n), np.float32), np.empty((*codes.shape, 3 * n), np.float32)
-        carry, whT = np.zeros_like(h), self.p["wh"].T
+        dg, dx = np.empty((*codes.shape, 3 * n), out.dtype), np.empty((*codes.shape, 3 * n), out.dtype)
+        # What does not depend on later steps, for all steps at once.
+        z, r = gates[..., :n], gates[..., n:]
+        by_z, by_new = (before - news) * z * (1 - z), (1 - z) * (1 - news * news)
+        by_r = turned * r * (1 - r)
+        carry, whT, opens = np.zeros_like(h), self.p["wh"].T, fresh.any(1)
         for t in range(len(codes) - 1, -1, -1):
             d = dstate[t] + carry
-            z, r, new = gates[t, :, :n], gates[t, :, n:], news[t]
-            dnew = d * (1 - z) * (1 - new * new)
-            dx[t, :, :n] = d * (before[t] - new) * z * (1 - z)
-            dx[t, :, n:2 * n] = dnew * turned[t] * r * (1 - r)
+            dnew = d * by_new[t]
+            np.multiply(d, by_z[t], out=dg[t, :, :n])
+            np.multiply(dnew, by_r[t], out=dg[t, :, n:2 * n])
+            np.multiply(dnew, r[t], out=dg[t, :, 2 * n:])
             dx[t, :, 2 * n:] = dnew
-            dg[t, :, :2 * n], dg[t, :, 2 * n:] = dx[t, :, :2 * n], dnew * r
-            carry = np.where(fresh[t, :, None], np.float32(0), d * z + dg[t] @ whT)
+            carry = d * z[t] + dg[t] @ whT
+            if opens[t]:
+                carry[fresh[t]] = 0
+        dx[..., :2 * n] = dg[..., :2 * n]
         flat = lambda a: a.reshape(-1, a.shape[-1])
         grads["wh"], grads["wx"], grads["b"] = flat(before).T @ flat(dg), flat(x).T @ flat(dx), flat(dx).sum(0)
         din, order = flat(dx) @ self.p["wx"].T, np.argsort(codes.ravel(), kind="stable")
@@ -369,7 +393,7 @@ def train(coded: DataFrame, model: Model, rounds: int, rate: float, lanes: int,
             model.load(np.concatenate([np.frombuffer(r.sums, "<f8") / r.weight for r in parts]))
 
 
-def log_likelihoods(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held: Column | None = None, head: int = 2048, hidden: int = 24,
+def log_likelihoods(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held: Column | None = None, head: int = 1024, hidden: int = 16,
                     rounds: int = 6, rate: float = 0.05, lanes: int = 256, steps: int = 32, block: int = 1 << 22) -> DataFrame:
     """Log10 probability of every whole document: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
