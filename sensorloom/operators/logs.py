@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,87 +13,78 @@ from sensorloom.operators.sequence import DEFAULT_SLICE
 from sensorloom.sources.staging import materialize
 from sensorloom.operators.slices import SLICE, add_slice, join_summary, running_last, slice_prefix
 
-# Line families in matching order, each as the pattern that identifies the line and
-# the patterns of its numbers. The first group of a pattern is the number.
-_N = r"([\d,]+)"
+# A line is read as fields: numbers with a label before them, and numbers with a unit after them.
+_LABELLED = r"([a-z][a-z ]*)[:=]\s*(-?\d[\d,]*)(?![\d.]*%)"
+_COUNTED = r"(\d[\d,]*)\s*(/?[a-z][a-z/]*)"
+_BAR = r"\[stage\s.*"
+
+# The families in matching order. A line is of the first whose word it holds and whose fields it has, and the
+# family's numbers are those fields; a name that begins with a digit sign is a unit, the others are ends of labels.
 FAMILIES = {
-    "producer": (
-        r"(?:Progress|Status):\s*[\d,]+\s*(?:events|sent)",
-        {
-            "total": rf"(?:Progress|Status):\s*{_N}\s*(?:events|sent)",
-            "rate": rf"{_N}\s*(?:evts?/s|/s)",
-            "errors": r"Errors:\s*(\d+)",
-            "null_aqi": r"Null AQI:\s*(\d+)(?![\d.]*%)",
-        },
-    ),
-    "priority_consumer": (
-        r"HIGH_PRIORITY.*Processed:\s*[\d,]+\s*\|\s*Rate:\s*[\d,]+/s\s*\|\s*Lag:\s*-?[\d,]+",
-        {"total": rf"Processed:\s*{_N}", "rate": rf"Rate:\s*{_N}/s", "lag": r"Lag:\s*(-?[\d,]+)"},
-    ),
-    "standard_consumer": (
-        r"STANDARD.*Processed:\s*[\d,]+\s*\|\s*Rate:\s*[\d,]+/s",
-        {"total": rf"Processed:\s*{_N}", "rate": rf"Rate:\s*{_N}/s", "lag": rf"Total Lag:\s*{_N}"},
-    ),
-    "lag": (
-        r"STANDARD Consumer-\d+\s*(?:Partition )?L(?:AG|ag):\s*Total=[\d,]+",
-        {"lag": rf"Total={_N}"},
-    ),
-    "dlq_router": (
-        r"DLQ (?:Router|Status).*Validated[:=]\s*[\d,]+\s*\|\s*Invalid[:=]\s*[\d,]+",
-        {"total": rf"Validated[:=]\s*{_N}", "invalid": rf"Invalid[:=]\s*{_N}", "dlq_sent": rf"DLQ Sent[:=]\s*{_N}"},
-    ),
-    "dlq_report": (
-        r"(?:Collected\s*[\d,]+\s*DLQ messages|Sampled\s*[\d,]+\s*records)",
-        {"total": rf"(?:Collected|Sampled)\s*{_N}"},
-    ),
-    "enrichment": (
-        r"Enrichment (?:Progress|Status):\s*[\d,]+\s*processed\s*\|\s*(?:Enriched|Joined):\s*[\d,]+\s*\|\s*(?:Unenriched|Misses):\s*[\d,]+",
-        {
-            "total": rf"(?:Progress|Status):\s*{_N}",
-            "enriched": rf"(?:Enriched|Joined):\s*{_N}",
-            "unenriched": rf"(?:Unenriched|Misses):\s*{_N}",
-        },
-    ),
-    "incident": (r"(?i)incident_type|aqi_emergency|traffic_gridlock|bus_bunching", {}),
-    "stage": (
-        r"\[Stage\s+\d+.*\(\d+\s*\+\s*\d+\)\s*/\s*\d+\]",
-        {
-            "stage": r"\[Stage\s+(\d+)",
-            "total": r"\((\d+)\s*\+\s*\d+\)\s*/\s*\d+\]",
-            "rate": r"\(\d+\s*\+\s*(\d+)\)\s*/\s*\d+\]",
-            "tasks": r"\(\d+\s*\+\s*\d+\)\s*/\s*(\d+)\]",
-        },
-    ),
+    "producer": ((), ("progress|status", "#events|#sent"), {
+        "total": "progress|status", "rate": "#evt/s|#evts/s|#/s", "errors": "errors", "null_aqi": "null aqi"}),
+    "priority_consumer": (("high_priority",), ("processed", "rate", "lag"), {"total": "processed", "rate": "rate", "lag": "lag"}),
+    "standard_consumer": (("standard",), ("processed", "rate"), {"total": "processed", "rate": "rate", "lag": "total lag"}),
+    "lag": (("lag: total=",), ("total",), {"lag": "total"}),
+    "dlq_router": (("dlq router", "dlq status"), ("validated", "invalid"), {
+        "total": "validated", "invalid": "invalid", "dlq_sent": "dlq sent"}),
+    "dlq_report": (("collected", "sampled"), ("#dlq|#records",), {"total": "#dlq|#records"}),
+    "enrichment": (("enrichment",), ("#processed", "enriched|joined", "unenriched|misses"), {
+        "total": "#processed", "enriched": "enriched|joined", "unenriched": "unenriched|misses"}),
+    "incident": (("incident_type", "aqi_emergency", "traffic_gridlock", "bus_bunching"), (), {}),
+    # A progress bar has four numbers and no labels.
+    "stage": (("[stage",), ("@4",), {"stage": "@1", "total": "@2", "rate": "@3", "tasks": "@4"}),
 }
 
 NUMBERS = ["total", "rate", "errors", "null_aqi", "lag", "invalid", "dlq_sent", "enriched",
            "unenriched", "stage", "tasks"]
 
 
-def _number(line: Column, pattern: str) -> Column:
-    text = F.regexp_extract(line, pattern, 1)
-    return F.when(text != "", F.regexp_replace(text, ",", "").cast("bigint"))
+def _named(name: str):
+    return lambda label: (label == name) | label.endswith(f" {name}")
+
+
+def _field(names: str) -> Column:
+    """Text of the first field of these names, null if the line has none."""
+    found = []
+    for name in names.split("|"):
+        if name.startswith("@"):
+            found.append(F.get("_bar", F.lit(int(name[1:]) - 1)))
+        elif name.startswith("#"):
+            at = F.array_position("_units", F.lit(name[1:]))
+            found.append(F.when(at > 0, F.get("_counts", (at - 1).cast("int"))))
+        else:
+            at = F.array_position(F.transform("_labels", _named(name)), True)
+            found.append(F.when(at > 0, F.get("_values", (at - 1).cast("int"))))
+    return F.coalesce(*found)
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Add `family` and the numbers of the first family that matches; drop other lines."""
-    text = F.col(line)
-    family = None
-    for name, (pattern, _) in FAMILIES.items():
-        hit = text.rlike(pattern)
-        family = F.when(hit, F.lit(name)) if family is None else family.when(hit, F.lit(name))
-    # One-element explode: the condition stays above it, so the patterns are matched once.
-    found = lines.select("*", F.explode(F.array(family)).alias("family")).where(F.col("family").isNotNull())
+    """Add `family` and the numbers of the first family that a line belongs to; drop other lines."""
+    fields = F.struct(
+        F.lower(line).alias("_low"),
+        F.transform(F.regexp_extract_all(F.lower(line), F.lit(_LABELLED), F.lit(1)), F.trim).alias("_labels"),
+        F.regexp_extract_all(F.lower(line), F.lit(_LABELLED), F.lit(2)).alias("_values"),
+        F.regexp_extract_all(F.lower(line), F.lit(_COUNTED), F.lit(1)).alias("_counts"),
+        F.regexp_extract_all(F.lower(line), F.lit(_COUNTED), F.lit(2)).alias("_units"),
+        F.regexp_extract_all(F.regexp_extract(F.lower(line), _BAR, 0), F.lit(r"(\d+)"), F.lit(1)).alias("_bar"))
+    # One-element explodes: what is above them does not match a line's patterns again.
+    read = lines.where(F.col(line).isNotNull()).select("*", F.explode(F.array(fields)).alias("_f")).select(*lines.columns, "_f.*")
+    family = F.lit(None).cast("string")
+    for name, (words, needed, _) in reversed(FAMILIES.items()):
+        hit = F.lit(True)
+        if words:
+            hit = reduce(or_, [F.col("_low").contains(w) for w in words])
+        for names in needed:
+            hit = hit & _field(names).isNotNull()
+        family = F.when(hit, F.lit(name)).otherwise(family)
+    found = read.select("*", F.explode(F.array(family)).alias("family")).where(F.col("family").isNotNull())
 
     def value(number: str) -> Column:
-        by_family = None
-        for name, (_, patterns) in FAMILIES.items():
-            if number in patterns:
-                on, got = F.col("family") == name, _number(text, patterns[number])
-                by_family = F.when(on, got) if by_family is None else by_family.when(on, got)
-        return by_family
-
-    out = found.select("*", *[value(n).alias(n) for n in NUMBERS])
+        own = [F.when(F.col("family") == name, _field(fields[number])) for name, (_, _, fields) in FAMILIES.items() if number in fields]
+        return F.replace(F.coalesce(*own), F.lit(","), F.lit("")).cast("bigint")
+
+    out = found.select(*lines.columns, "family", *[value(n).alias(n) for n in NUMBERS])
     # Numbers a family always has, even when the line leaves them out; -1 is an unknown lag.
     for number, family in (("errors", "producer"), ("null_aqi", "producer"), ("lag", "standard_consumer"),
                            ("dlq_sent", "dlq_router")):

@@ -281,3 +281,25 @@ def calendar_rollup(summary: DataFrame, start: str = "window_start", ward: str =
         round_half_up(F.sum("kwh"), 2).alias("total_kwh_consumed"),
         F.max("peak").alias("peak_voltage"), F.sum("windows").alias("windows"),
     )
+
+
+def distinct_sketches(df: DataFrame, column: str, keys: list[str], ts: str = "ts", width: str = "1 hour", detail: int = 14) -> DataFrame:
+    """Mergeable sketches of a column's distinct values: (keys, window_start, date, sketch BINARY), one small row per window.
+
+    Kept in an archive they give the number of distinct values of any span of windows (`distinct_over`) without the rows.
+    `detail` is the logarithm of a sketch's size: at 14 the error is under 1 % in two of three cases. Null values do not
+    count; a window without values has no row.
+    """
+    start = F.window(ts, width).getField("start")
+    return df.where(F.col(column).isNotNull() & F.col(ts).isNotNull()).groupBy(*keys, start.alias("window_start")).agg(
+        F.hll_sketch_agg(F.col(column), F.lit(detail)).alias("sketch")).withColumn("date", event_date("window_start"))
+
+
+def distinct_over(sketches: DataFrame, keys: list[str], since: str | None = None, until: str | None = None) -> DataFrame:
+    """(keys, distinct_values): about how many distinct values the windows from `since` on and before `until` hold together."""
+    span = sketches
+    if since is not None:
+        span = span.where((F.col("window_start") >= F.lit(since)) & (F.col("date") >= F.lit(since[:10])))
+    if until is not None:
+        span = span.where((F.col("window_start") < F.lit(until)) & (F.col("date") <= F.lit(until[:10])))
+    return span.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"))

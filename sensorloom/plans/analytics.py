@@ -174,6 +174,22 @@ def latency_stats(spark, sf):
     return rollups.latency_stats(done, "ts", "done", "event_type")
 
 
+@query("distinct_over_time", check_views("meters") + """
+SELECT ward_id, count(DISTINCT meter_id) AS meters, TRUE AS sketch_agrees FROM meters
+WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY ward_id""")
+def distinct_over_time(spark, sf):
+    """Distinct meters of a span from archived sketches of its windows, held against a count of the rows."""
+    since, until = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
+    meters = shape(spark, sf, "meters")
+    path = f"{staging_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    rollups.distinct_sketches(meters, "meter_id", ["ward_id"], width="6 hours").write.partitionBy("date").parquet(path)
+    sketched = rollups.distinct_over(spark.read.parquet(path), ["ward_id"], since, until)
+    exact = meters.where((F.col("ts") >= F.lit(since)) & (F.col("ts") < F.lit(until))).groupBy("ward_id").agg(
+        F.count_distinct("meter_id").alias("meters"))
+    return exact.join(sketched, "ward_id").select(
+        "ward_id", "meters", (F.abs(F.col("distinct_values") - F.col("meters")) <= F.greatest(F.col("meters") * 0.02, F.lit(0.5))).alias("sketch_agrees"))
+
+
 @query("distinct_keys", check_views("signals", "trips") + """
 SELECT 'zone' AS key, count(DISTINCT zone) AS n FROM signals
 UNION ALL SELECT 'junction_id', count(DISTINCT junction_id) FROM signals""")

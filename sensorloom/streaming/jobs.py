@@ -64,6 +64,14 @@ def ward_speed(envelope: DataFrame, checkpoint: str, width: str = "15 minutes",
     return start("change", "update"), start("final", "append")
 
 
+def ward_speed_events(envelope: DataFrame, checkpoint: str, width: str = "15 minutes", delay: str = METER_DELAY,
+                      available_now: bool = False, **topic) -> StreamingQuery:
+    """One row for every event and one when a window ends, in one query."""
+    rows = processors.ward_running_stream(timed(envelope, METERS, schemas.SMART_METERS, delay), width=width)
+    return out.write_topic(out.to_envelope(rows, "ward_id"), ENERGY, checkpoint, "append", name="ward_speed_events",
+                           available_now=available_now, **topic)
+
+
 def health_advisories(envelope: DataFrame, profile: DataFrame, checkpoint: str, delay: str = AIR_DELAY,
                       available_now: bool = False, **topic) -> StreamingQuery:
     air = timed(envelope, AIR, schemas.AIR_QUALITY, delay)
@@ -157,7 +165,7 @@ def run_for(queries: list[StreamingQuery], seconds: float) -> None:
     end = time.monotonic() + seconds
     try:
         for q in queries:
-            q.awaitTermination(max(0.0, end - time.monotonic()))
+            q.awaitTermination(max(0.01, end - time.monotonic()))
     finally:
         for q in queries:
             q.stop()

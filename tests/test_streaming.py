@@ -262,3 +262,72 @@ def test_zone_dashboard_complete_mode(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.zone: (r.events, r.avg_vehicle_count, r.avg_wait_sec, r.max_wait_sec, r.gridlock_count) for r in seen}
     assert got == {"A": (2, 2.0, 105.0, 200.0, 1), "unknown": (1, 2.0, 0.0, 0.0, 0)}
+
+
+def test_ward_running_stream_has_a_row_for_every_event(spark, tmp_path):
+    meters = shape(spark, SF_SMALL, "meters").where("ts < '2024-01-08'").cache()
+    far = {"meter_id": "END", "ward_id": "END", "kwh_reading": 1.0, "power_factor": 1.0, "voltage": 1.0}
+    as_files(sentinel(meters, **far), str(tmp_path / "in"), files=3)
+    got = finish(processors.ward_running_stream(
+        stream(spark, str(tmp_path / "in"), meters.schema).withWatermark("ts", "45 minutes"), width="6 hours"), tmp_path).where("ward_id <> 'END'")
+    want = rollups.ward_running(meters, ["ts", "event_id"], width="6 hours")
+    figures = ["ward_id", "window_start", "window_end", "date", "event_id", "round(total_kwh_consumed, 6) AS t", "round(avg_power_factor, 9) AS p",
+               "peak_voltage", "source_layer"]
+    assert want.count() > 100
+    same(got.where("NOT final").selectExpr(*figures), want.selectExpr(*figures), ["*"])
+    last = want.groupBy("ward_id", "window_start").agg(F.max_by("total_kwh_consumed", F.struct("ts", "event_id")).alias("t"))
+    same(got.where("final").selectExpr("ward_id", "window_start", "round(total_kwh_consumed, 6) AS t"),
+         last.selectExpr("ward_id", "window_start", "round(t, 6) AS t"), ["*"])
+
+
+def test_lag_of_a_paused_reader_is_what_it_has_not_read(spark, tmp_path):
+    from sensorloom.sources import offsets
+    from sensorloom.streaming import lag
+
+    src, ck = str(tmp_path / "in"), str(tmp_path / "ck")
+
+    def add(*spans):
+        rows = [(None, "{}", t, p, o, None) for t, p, a, b in spans for o in range(a, b)]
+        offsets.write_topic(spark.createDataFrame(rows, schemas.ENVELOPE), src, 1)
+
+    def read():
+        q = topics.stream_topics(spark, ["a", "b"], path=src, per_trigger=1).writeStream.format("noop").option(
+            "checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        assert q.exception() is None
+
+    def behind():
+        return {(r.topic, r.partition): r.lag for r in lag.folder_lag(spark, ck, src).where("partition IS NOT NULL").collect()}
+
+    add(("a", 0, 0, 10), ("b", 0, 0, 4))
+    assert behind() == {("a", 0): 10, ("b", 0): 4}
+    read()
+    assert behind() == {("a", 0): 0, ("b", 0): 0}
+    add(("a", 0, 10, 17))
+    add(("a", 1, 0, 5), ("a", 0, 17, 18))
+    assert behind() == {("a", 0): 8, ("a", 1): 5, ("b", 0): 0}
+    assert lag.folder_lag(spark, ck, src, ["a"]).where("partition IS NULL").first().lag == 13
+    read()
+    assert set(behind().values()) == {0}
+
+
+def test_broker_positions_from_a_checkpoint(spark, tmp_path):
+    from sensorloom.streaming import lag
+
+    for part, name, text in (("commits", "3", 'v1\n{"nextBatchWatermarkMs":0}'), ("commits", "12", 'v1\n{"nextBatchWatermarkMs":0}'),
+                             ("offsets", "12", 'v1\n{"batchWatermarkMs":0,"batchTimestampMs":1,"conf":{"a":"b"}}\n{"t":{"0":40,"1":7},"u":{"0":1}}'),
+                             ("offsets", "13", 'v1\n{"batchWatermarkMs":0}\n{"t":{"0":99,"1":99}}')):
+        (tmp_path / part).mkdir(exist_ok=True)
+        (tmp_path / part / name).write_text(text)
+    heads = spark.createDataFrame([("t", 0, 50), ("t", 1, 7), ("u", 0, 1), ("u", 1, 3)], "topic STRING, partition INT, high LONG")
+    got = {(r.topic, r.partition): r.lag for r in lag.broker_lag(spark, str(tmp_path), heads).where("partition IS NOT NULL").collect()}
+    assert got == {("t", 0): 10, ("t", 1): 0, ("u", 0): 0, ("u", 1): 3}
+    assert lag.broker_positions(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_run_for_stops_queries(spark, tmp_path):
+    write_envelope(spark, [reading("00:00:00.000", 1.0)], str(tmp_path / "in"), 0)
+    env = topics.stream_topics(spark, ["smart_meters"], path=str(tmp_path / "in"))
+    queries = [env.writeStream.format("noop").option("checkpointLocation", str(tmp_path / f"ck{i}")).start() for i in range(2)]
+    jobs.run_for(queries, 3)
+    assert not any(q.isActive for q in queries)
