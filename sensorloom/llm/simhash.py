@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, count
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -155,6 +157,8 @@ def shingle_hashes(text: str, width: int = 5, seed: int = 42) -> np.ndarray:
 
 GROUP = 4  # rows of one shingle that are proposed all with all at once; of more, each meets a lead first
 LEFT = 8  # comparisons for each row at which the rest is compared all with all
+WORDS = 16  # of 64 bits in a row's bitmap of shingles
+BITMAP = [f"b{i}" for i in range(WORDS)]
 SAMPLE, OFTEN = 8192, 8  # rows looked at for frequent shingles, and in how many of them a shingle is frequent
 
 
@@ -174,8 +178,9 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
 
     Up to `GROUP` rows of one shingle are proposed all with all. A crowded shingle's rows meet one lead first, the row in
     most crowded shingles, which is what copies were made from; then only rows that are not yet connected are left to
-    compare. While these are many and leads still connect some, other leads follow; at last all pairs of rows
-    of a shingle that are not connected are compared. Wordless texts are not linked.
+    compare. While these are many and leads still connect many, other leads follow; at last all pairs of rows
+    of a shingle that are not connected are compared. Before sets of shingles are fetched, bitmaps of them rule out pairs that differ
+    in too many bits, which no alike pair does; they do so within the join. Wordless texts are not linked.
     """
     source = rows.select(F.col(row).alias("row"), text_or_empty(text).alias("text"))
 
@@ -188,20 +193,35 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 parts, sizes = [np.zeros(0, np.uint64)], []
-                for t in batch.column("text").to_pylist():
+                bits = np.zeros((batch.num_rows, 64 * WORDS), bool)
+                for i, t in enumerate(batch.column("text").to_pylist()):
                     s = shingle_hashes(t, width)
                     sizes.append(len(s))
+                    bits[i, (s >> np.uint64(40)) % np.uint64(64 * WORDS)] = True
                     if len(often):
                         late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
                         s = np.concatenate([s[~late], s[late]])
                     parts.append(s[:prefix_size(len(s), similarity)] if len(s) else s)
                 counts = np.array([0, *(len(x) for x in parts[1:])], np.int64)
                 token = pa.array(np.concatenate(parts).astype(np.uint32).view(np.int32))
+                bitmap = np.packbits(bits, axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row"), pa.array(np.array(sizes, np.int32)),
-                     pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), token)], ["row", "size", "tokens"])
+                     pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), token),
+                     *(pa.array(np.ascontiguousarray(bitmap[:, w])) for w in range(WORDS))], ["row", "size", "tokens", *BITMAP])
 
-        return source.mapInArrow(cut, "row long, size int, tokens array<int>")
+        return source.mapInArrow(cut, "row long, size int, tokens array<int>, " + ", ".join(f"{b} long" for b in BITMAP))
+
+    def near_bitmaps(x: str, y: str, sizes: Column) -> Column:
+        # A bit that one bitmap has and the other has not is a shingle that one text has and the other has not.
+        apart = reduce(add, [F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in BITMAP])
+        return apart <= (1 - similarity) / (1 + similarity) * sizes + 1e-6
+
+    def checked(pairs: DataFrame, every: DataFrame) -> DataFrame:
+        """Pairs whose bitmaps do not rule them out."""
+        own = every.select("row", "size", *BITMAP)
+        both = pairs.join(own.alias("x"), F.col("a") == F.col("x.row")).join(own.alias("y"), F.col("b") == F.col("y.row"))
+        return both.where(near_bitmaps("x", "y", F.col("x.size") + F.col("y.size"))).select("a", "b")
 
     def alike(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs)
@@ -238,14 +258,15 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
         "token", "row", F.shiftleft("size", 32).bitwiseOR(F.col("at").cast("long")).alias("where"))
     shared = staged(tokens.join(counts.hint("merge"), "token").select(
         "token", "row", F.shiftright("where", 32).cast("int").alias("size"), F.col("where").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"), "n"))
-    discard(every)
     discard(counts)
     small, crowd = shared.where(F.col("n") <= GROUP).drop("n"), shared.where(F.col("n") > GROUP).drop("n")
-    links = alike(met(small, small, F.col("x.row") > F.col("y.row")))
+    first_pairs = staged(met(small, small, F.col("x.row") > F.col("y.row")))
+    links = alike(checked(first_pairs, every))
+    discard(first_pairs)
     places = staged(crowd.groupBy("row").agg(F.count("*").alias("places")))
-    crowd = staged(crowd.join(places.hint("merge"), "row"))
-    discard(shared)
-    discard(places)
+    crowd = staged(crowd.join(places.hint("merge"), "row").join(every.select("row", *BITMAP).hint("merge"), "row"))
+    for old in (shared, places, every):
+        discard(old)
     for turn in count():
         label = components(links)
         members = staged(crowd.join(label.hint("merge").withColumnRenamed("node", "row"), "row", "left").withColumn(
@@ -258,16 +279,16 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
             rows_left = members.count()
             old, members = members, staged(members.join(apart.select("token").hint("merge"), "token"))
             discard(old)
-            differ = F.col("x.label") != F.col("y.label")
-            last = bool(turn) and (left <= LEFT * rows_left or not gained)
+            differ = (F.col("x.label") != F.col("y.label")) & near_bitmaps("x", "y", F.col("x.size") + F.col("y.size"))
+            last = bool(turn) and (left <= LEFT * rows_left or gained * 20 < rows_left)
             if last:
                 more = alike(met(members, members, differ, F.col("x.row") > F.col("y.row")))
             else:
                 first = F.struct("places" if not turn else F.lit(0).alias("places"), F.xxhash64("row", F.lit(turn)).alias("h"))
-                leads = staged(members.groupBy("token").agg(F.max_by(F.struct("row", "size", "at", "label"), first).alias("l")).select("token", "l.*"))
+                leads = staged(members.groupBy("token").agg(F.max_by(F.struct("row", "size", "at", "label", *BITMAP), first).alias("l")).select("token", "l.*"))
                 more = alike(met(members, leads, differ))
                 discard(leads)
-                gained = not more.isEmpty()
+                gained = more.count()
             links = links.union(more)
         for old in (label, members, apart):
             discard(old)
