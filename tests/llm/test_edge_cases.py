@@ -171,6 +171,12 @@ def test_mask(spark, odd, empty):
     assert pii.mask(empty).count() == 0 and pii.mask(odd).count() == 11
 
 
+def test_mask_leaves_columns_with_its_own_names_alone(spark):
+    rows = [(1, "write to ann@example.org now", "keep", [1]), (2, None, "this", None)]
+    out = pii.mask(spark.createDataFrame(rows, "doc_id long, text string, _pii_row string, _pii_runs array<int>")).orderBy("doc_id").collect()
+    assert [tuple(r) for r in out] == [(1, "write to [EMAIL] now", "keep", [1]), (2, None, "this", None)]
+
+
 def test_neighbours(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (20, [-1.0, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]),

@@ -30,7 +30,7 @@ def test_equals_check_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [min(n for n in entry.queries() if n.startswith(f"op{i}_")) for i in range(1, 11)]
+    assert [min(n for n in entry.queries() if n.startswith(f"op{i}_")) for i in range(1, 14)]
     assert "pipeline" in entry.queries()
 
 
