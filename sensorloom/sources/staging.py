@@ -22,7 +22,10 @@ def staging_dir(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.partition("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="sensorloom-"))
+        own = spark.sparkContext.applicationId
+        if own not in _LOCAL:
+            _LOCAL[own] = tempfile.mkdtemp(prefix="sensorloom-")
+        folder = _LOCAL[own]
     return folder
 
 
