@@ -189,6 +189,26 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
         for texts in batches:
             yield pd.Series([shingle_hashes(t, width).view(np.int64) for t in texts])
 
+    @F.pandas_udf("binary")
+    def long_bitmap(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for lists in batches:
+            out = []
+            for s in lists:
+                bits = np.zeros(1 << max(6, int(2 * len(s)).bit_length()), bool)
+                bits[(s.view(np.uint64) >> np.uint64(8)) & np.uint64(len(bits) - 1)] = True
+                out.append(np.packbits(bits).tobytes())
+            yield pd.Series(out)
+
+    @F.pandas_udf("long")
+    def bits_apart(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for one, two in batches:
+            out = []
+            for x, y in zip(one, two, strict=True):
+                x, y = (np.frombuffer(v, np.uint8) for v in (x, y))
+                size = min(len(x), len(y))  # the longer one is folded to the length of the other
+                out.append(int(np.bitwise_count(np.bitwise_or.reduce(x.reshape(-1, size)) ^ np.bitwise_or.reduce(y.reshape(-1, size))).sum()))
+            yield pd.Series(out, dtype="int64")
+
     def prefixes(often: np.ndarray):
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -226,8 +246,14 @@ def similar_links(rows: DataFrame, text: str, row: str, similarity: float = 0.8,
     def alike(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs)
         wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-        sets = staged(source.join(wanted, "row", "left_semi").select("row", hashes("text").alias("s")))
-        both = pairs.join(sets.withColumnRenamed("row", "a"), "a").join(sets.select(F.col("row").alias("b"), F.col("s").alias("t")), "b")
+        sets = staged(source.join(wanted, "row", "left_semi").select("row", hashes("text").alias("s")).withColumn("m", long_bitmap("s")))
+        # Long texts fill the short bitmaps; these are as long as the text, and a fortieth of its hashes.
+        own = sets.select("row", "m", F.size("s").alias("n"))
+        left = pairs.join(own.alias("x"), F.col("a") == F.col("x.row")).join(own.alias("y"), F.col("b") == F.col("y.row"))
+        old, pairs = pairs, staged(left.where(
+            bits_apart("x.m", "y.m") <= (1 - similarity) / (1 + similarity) * (F.col("x.n") + F.col("y.n")) + 1e-6).select("a", "b"))
+        discard(old)
+        both = pairs.join(sets.select(F.col("row").alias("a"), "s"), "a").join(sets.select(F.col("row").alias("b"), F.col("s").alias("t")), "b")
         common = F.size(F.array_intersect("s", "t"))
         out = staged(both.where(common >= similarity * (F.size("s") + F.size("t") - common)).select("a", "b"))
         discard(sets)
