@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain, combinations
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,7 +14,9 @@ from pyspark.sql import functions as F
 from sensorloom.llm.common import components, discard, numbered, staged, text_or_empty
 from sensorloom.llm.pieces import _spread, text_ranges, utf8
 
-GROUP = 16  # windows of one signature and different contents that are compared all with all
+GROUP = 16  # runs of one signature and different contents that are compared all with all; of more, those that share a rare shingle
+AT_ONCE = 2  # signatures made in one pass over the texts
+COMPARED = 4  # signatures whose runs are compared in one pass
 
 
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -106,17 +107,19 @@ def compact_windows(hashes: np.ndarray, text: np.ndarray, size: int, pairs: Iter
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-PLACES = ["first", "last", "root"]
-WINDOW = ["deal", "signature", "row", *PLACES, "head", "tail", "to_row", "to_first", "to_last"]
+WINDOW = ["signature", "row", "first", "last", "root", "head", "tail", "to_row", "to_first"]
+WIDE = {"signature", "row", "head", "tail", "to_row"}
+LINK = "row long, low int, high int, to_row long, to_low int"
+CONTENT = "signature long, row long, first int, last int, root int, content binary"
 
 
-def window_rows(rows: DataFrame, text: str, row: str, width: int, size: int, pair: int = 0) -> DataFrame:
-    """Compact windows of all texts under one pair of hash functions, as rows to be dealt by signature; places are word positions.
+def window_rows(rows: DataFrame, width: int, size: int, pairs: Iterable[int]) -> DataFrame:
+    """Compact windows of all texts under some pairs of hash functions; places are word positions.
 
-    Of windows in one block of texts with equal signature and content one is dealt; the others are dealt by their
-    own number and carry a link to it, so a passage in many documents is not a hot key.
+    Of runs in one block of texts with equal signature, ends and length the first is alone; the others name it in
+    `to_row` and `to_first`, so a passage in many documents is not a hot key.
     """
-    source = rows.select(F.col(row).alias("row"), text_or_empty(text).alias("text"))
+    pairs = list(pairs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,96 +127,172 @@ def window_rows(rows: DataFrame, text: str, row: str, width: int, size: int, pai
             data, offsets = utf8(batch.column(1))
             for x, y in text_ranges(offsets, 4 << 20):
                 hashes, of, position = shingles(data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x], width)
-                sign, first, last, root, head, tail = compact_windows(hashes, of, size, (pair,))
-                if not len(sign):
-                    continue
-                own = keys[x:y][of[first]]
-                by = pd.DataFrame({"s": sign, "h": head, "t": tail}).groupby(["s", "h", "t"], sort=False).ngroup().to_numpy()
-                lead = np.full(by.max() + 1, -1, np.int64)
-                lead[by[::-1]] = np.arange(len(by) - 1, -1, -1)
-                to = lead[by]
-                dealt = to == np.arange(len(by))
-                deal = np.where(dealt, sign, mixed(own.astype(np.uint64) + mixed(first.astype(np.uint64), 5), 9))
-                places = [position[v].astype(np.int32) for v in (first, last, root)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(deal.view(np.int64)), pa.array(sign.view(np.int64)), pa.array(own), *map(pa.array, places),
-                     pa.array(head.view(np.int64)), pa.array(tail.view(np.int64)), pa.array(own[to], mask=dealt),
-                     pa.array(places[0][to], mask=dealt), pa.array(places[1][to], mask=dealt)], WINDOW)
-
-    wide = {"deal", "signature", "row", "head", "tail", "to_row"}
-    return source.mapInArrow(cut, ", ".join(f"{c} {'long' if c in wide else 'int'}" for c in WINDOW))
-
-
-def _links_of(group: dict[str, np.ndarray]) -> Iterator[tuple]:
-    """Links within one signature, as (row, first, low, high, to_row, to_first, shift, equal).
-
-    A link says that the windows from `low` to `high` of one run stand beside those `shift` words earlier of another. Windows of
-    equal content at an end of their runs are a star around the first of them. Runs of different content are put side
-    by side by the place of their root.
+                for pair in pairs:
+                    sign, first, last, root, head, tail = compact_windows(hashes, of, size, (pair,))
+                    if not len(sign):
+                        continue
+                    own = keys[x:y][of[first]]
+                    by = pd.DataFrame({"s": sign, "h": head, "t": tail, "n": last - first}).groupby(
+                        ["s", "h", "t", "n"], sort=False).ngroup().to_numpy()
+                    lead = np.full(by.max() + 1, -1, np.int64)
+                    lead[by[::-1]] = np.arange(len(by) - 1, -1, -1)
+                    to = lead[by]
+                    alone = to == np.arange(len(by))
+                    places = [position[v].astype(np.int32) for v in (first, last, root)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(sign.view(np.int64)), pa.array(own), *map(pa.array, places), pa.array(head.view(np.int64)),
+                         pa.array(tail.view(np.int64)), pa.array(own[to], mask=alone), pa.array(places[0][to], mask=alone)], WINDOW)
+
+    return rows.select("row", "text").mapInArrow(cut, ", ".join(f"{c} {'long' if c in WIDE else 'int'}" for c in WINDOW))
+
+
+def shared_runs(rows: DataFrame, pairs: Iterable[int], width: int, words: int) -> tuple[DataFrame, DataFrame]:
+    """(links, runs): links between equal runs, and one run of each content where a signature has several contents.
+
+    Signatures are counted first, so only runs whose signature is met again travel further. Equal runs are reduced by
+    a partial aggregation and linked to their first by a join; nothing gathers a signature. Both results are staged.
     """
-    row, first, last, root, head, tail = (group[c].tolist() for c in ("row", *PLACES, "head", "tail"))
-
-    def side_by_side(a: int, b: int, shift: int) -> Iterator[tuple]:
-        low, high = max(first[a], first[b] + shift), min(last[a], last[b] + shift)
-        if low <= high:
-            yield row[a], first[a], low, high, row[b], first[b], shift, 0
-
-    leader = np.arange(len(row))
-    for end, place in ((head, first), (tail, last)):
-        code, _ = pd.factorize(np.array(end))
-        star = np.full(code.max() + 1, len(row))
-        np.minimum.at(star, code, np.arange(len(row)))
-        for a, b in enumerate(star[code].tolist()):
-            if a != b:
-                yield row[a], first[a], place[a], place[a], row[b], first[b], place[a] - place[b], 1
-                if head[a] != head[b] or tail[a] != tail[b]:
-                    yield from side_by_side(a, b, place[a] - place[b])
-        joined = np.full(code.max() + 1, len(row))
-        np.minimum.at(joined, code, leader)
-        leader = joined[code]
-    roots = np.flatnonzero(leader == np.arange(len(row))).tolist()
-    if len(roots) <= GROUP:
-        pairs = combinations(roots, 2)
-    else:
-        pairs = chain(((roots[0], x) for x in roots[1:]), zip(roots[1:], roots[2:], strict=False))
-    for b, a in pairs:
-        yield from side_by_side(a, b, root[a] - root[b])
-
-
-LINK = ["row", "first", "low", "high", "to_row", "to_first", "shift", "equal"]
-LINK_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int8()]
-
-
-def signature_links(windows: DataFrame) -> DataFrame:
-    """Links between runs that share a signature, as `_links_of` gives them; tasks read their signatures in order."""
-    fields = ["signature", "row", *PLACES, "head", "tail"]
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {c: np.zeros(0, np.int64) for c in fields}
+    windows = staged(window_rows(rows, width, words - width + 1, pairs))
+    sent = windows.where("to_row IS NULL").drop("to_row", "to_first")
+    often = sent.groupBy("signature").agg(F.count("*").alias("n")).where("n > 1").select("signature")
+    met = staged(sent.join(often.hint("merge"), "signature").withColumn("span", F.col("last") - F.col("first")))
+    content = ["signature", "head", "tail", "span"]
+    kinds = staged(met.groupBy(*content).agg(F.min(F.struct("row", "first", "root")).alias("lead"), F.count("*").alias("n")))
+    equal = met.join(kinds.where("n > 1").hint("merge"), content).select(
+        "row", F.col("first").alias("low"), F.col("last").alias("high"), F.col("lead.row").alias("to_row"), F.col("lead.first").alias("to_low"))
+    inside = windows.where("to_row IS NOT NULL").select(
+        "row", F.col("first").alias("low"), F.col("last").alias("high"), "to_row", F.col("to_first").alias("to_low"))
+    links = staged(equal.union(inside).where((F.col("row") != F.col("to_row")) | (F.abs(F.col("low") - F.col("to_low")) >= words)).distinct())
+    several = kinds.groupBy("signature").agg(F.count("*").alias("k")).where("k > 1")
+    runs = staged(kinds.join(several.hint("merge"), "signature").select(
+        "signature", "k", "lead.row", "lead.first", (F.col("lead.first") + F.col("span")).alias("last"), "lead.root"))
+    for old in (windows, met, kinds):
+        discard(old)
+    return links, runs
+
+
+def contents(rows: DataFrame, runs: DataFrame, width: int, size: int) -> DataFrame:
+    """`runs` with their shingle hashes, 32 bits each, from the first window to the end of the last."""
+    place = F.struct("signature", "first", "last", "root")
+    slot = F.floor(F.col("first") / 65536)  # a row per stretch of a text, so no list is as long as a text is
+    wanted = runs.groupBy("row", slot.alias("slot")).agg(F.collect_list(place).alias("places"))
+    names = [c.split()[0] for c in CONTENT.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lists = batch.column("row").to_numpy(), batch.column("places")
+            data, offsets = utf8(batch.column("text"))
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            flat = lists.flatten()
+            sign, first, last, root = (flat.field(c).to_numpy() for c in ("signature", "first", "last", "root"))
+            for x, y in text_ranges(offsets, 4 << 20):
+                hashes, of, _ = shingles(data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x], width)
+                begin = np.searchsorted(of, np.arange(y - x), "left")
+                codes = hashes.astype("<u4")
+                for p in range(int(ends[x]), int(ends[y]), 8192):
+                    at = slice(p, min(p + 8192, int(ends[y])))
+                    text = np.searchsorted(ends, np.arange(at.start, at.stop), "right") - 1
+                    low = begin[text - x] + first[at]
+                    parts = [codes[v:w].tobytes() for v, w in zip(low.tolist(), (low + last[at] - first[at] + size).tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(sign[at]), pa.array(keys[text]), *(pa.array(v[at].astype(np.int32)) for v in (first, last, root)),
+                         pa.array(parts, pa.binary())], names)
+
+    return rows.join(wanted, "row").select("row", "places", "text").mapInArrow(cut, CONTENT)
+
+
+def jaccard(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of the sets in the rows of two matrices."""
+    def kinds(x: np.ndarray) -> np.ndarray:
+        x = np.sort(x, axis=1)
+        return 1 + (x[:, 1:] != x[:, :-1]).sum(1)
+
+    both = kinds(np.concatenate([one, two], axis=1))
+    return (kinds(one) + kinds(two) - both) / both
+
+
+def alike_places(a: list[int], b: list[int], n: int, size: int, similarity: float) -> Iterator[int]:
+    """Places under `n` at which the windows of `size` shingles of `a` and `b` are similar enough."""
+    one, two = (np.lib.stride_tricks.sliding_window_view(np.asarray(x), size)[:n] for x in (a, b))
+    yield from np.flatnonzero(jaccard(one, two) >= similarity - 1e-12).tolist()
+
+
+def alike_ranges(codes: np.ndarray, base: np.ndarray, first: np.ndarray, last: np.ndarray, root: np.ndarray, a: np.ndarray, b: np.ndarray,
+                 size: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pairs (a, b) of runs hold similar windows side by side by their roots: (number of the pair, first place, last place) in a.
+
+    Run i has its shingles in `codes` from `base[i]`. Every place that both runs have is compared.
+    """
+    shift = root[a] - root[b]
+    low, high = np.maximum(first[a], first[b] + shift), np.minimum(last[a], last[b] + shift)
+    number = np.maximum(high - low + 1, 0)
+    starts = np.cumsum(number) - number
+    total = int(number.sum())
+    good = np.zeros(total, bool)
+    width = np.arange(size)
+    for x in range(0, total, 1 << 15):
+        flat = np.arange(x, min(x + (1 << 15), total))
+        pair = np.searchsorted(starts, flat, "right") - 1
+        place = low[pair] + flat - starts[pair]
+        i = base[a[pair]] + place - first[a[pair]]
+        j = base[b[pair]] + place - shift[pair] - first[b[pair]]
+        one, two = codes[i[:, None] + width], codes[j[:, None] + width]
+        same = (one == two).all(1)
+        same[~same] = jaccard(one[~same], two[~same]) >= similarity - 1e-12
+        good[flat] = same
+    at = np.flatnonzero(good)
+    pair = np.searchsorted(starts, at, "right") - 1
+    found, begin = np.unique(pair, return_index=True)
+    if not len(found):
+        return found, found, found
+    place = low[pair] + at - starts[pair]
+    return found, place[begin], place[np.append(begin[1:], len(at)) - 1]
+
+
+def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """Columns of runs with contents, with all codes end to end."""
+    content = batch.column("content").cast(pa.large_binary())
+    _, offsets, data = content.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[content.offset:content.offset + len(content) + 1]
+    out = {c: batch.column(c).to_numpy().astype(np.int64) for c in ("signature", "row", "first", "last", "root")}
+    out["codes"] = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view("<u4")
+    out["base"] = (offsets[:-1] - offsets[0]) // 4
+    return out
+
+
+def _link_batch(row: np.ndarray, to_row: np.ndarray, low: np.ndarray, high: np.ndarray, to_low: np.ndarray) -> pa.RecordBatch:
+    cols = [row, low.astype(np.int32), high.astype(np.int32), to_row, to_low.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["row", "low", "high", "to_row", "to_low"])
+
+
+def few_links(runs: DataFrame, words: int, size: int, similarity: float) -> DataFrame:
+    """Links between the runs of each signature, all with all; a signature has at most `GROUP` of them."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in _with_end(batches):
-            out = [np.zeros((0, 8), np.int64)]
             if batch is not None:
-                passed = batch.column("to_row").is_valid().to_numpy(zero_copy_only=False)
-                through = batch.filter(pa.array(passed))
-                of = {c: through.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in WINDOW}
-                for place in ("first", "last"):
-                    at = of[place]
-                    out.append(np.column_stack([of["row"], of["first"], at, at, of["to_row"], of["to_first"], at - of[f"to_{place}"], np.ones_like(at)]))
-                held = {c: np.concatenate([v, batch.column(c).to_numpy(zero_copy_only=False)[~passed].astype(np.int64)]) for c, v in held.items()}
-            s = held["signature"]
-            bounds = np.append(np.flatnonzero(np.append(True, s[1:] != s[:-1])), len(s)) if len(s) else np.zeros(1, np.int64)
-            if batch is not None and len(bounds) > 1:
+                held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if held is None or not held.num_rows:
+                continue
+            s = held.column("signature").to_numpy()
+            bounds = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1, [len(s)]])
+            if batch is not None:
                 bounds = bounds[:-1]  # the last signature may go on
-            made = []
-            for k in np.flatnonzero(np.diff(bounds) > 1).tolist():
-                made += _links_of({c: v[bounds[k]:bounds[k + 1]] for c, v in held.items()})
-            out.append(np.array(made, np.int64).reshape(-1, 8))
-            held = {c: v[bounds[-1]:] for c, v in held.items()}
-            found = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, i]).cast(t) for i, t in enumerate(LINK_TYPES)], LINK)
-
-    dealt = windows.repartition("deal").sortWithinPartitions("signature", "row", "first")
-    return dealt.mapInArrow(link, "row long, first int, low int, high int, to_row long, to_first int, shift int, equal byte")
+            done = int(bounds[-1])
+            if done:
+                group = np.searchsorted(bounds, np.arange(done), "right") - 1
+                one, two = [], []
+                for step in range(1, int(np.diff(bounds).max())):
+                    near = np.flatnonzero(group[step:] == group[:-step])
+                    one.append(near + step)
+                    two.append(near)
+                if one:
+                    r = _arrays(held.slice(0, done))
+                    yield _linked_pairs(r, np.concatenate(one), np.concatenate(two), words, size, similarity)[1]
+            held = held.slice(done)
+
+    return runs.repartition("signature").sortWithinPartitions("signature", "row", "first").mapInArrow(compare, LINK)
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]):
@@ -221,121 +300,148 @@ def _with_end(batches: Iterator[pa.RecordBatch]):
     yield None
 
 
+def crowd_links(runs: DataFrame, words: int, size: int, similarity: float) -> DataFrame:
+    """Links between the runs of crowded signatures: whatever all similar pairs connect, without putting all side by side.
+
+    Two windows that are similar share one of their rarest shingles, by how many runs of the signature have them, within as many as
+    both can spare; runs that share none are not compared. Up to `GROUP` runs of such a shingle meet all with all. Of more each
+    meets the first; then those that are still not connected meet each other. Staged.
+    """
+    runs = numbered(runs, "run")
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for run, sign, data in zip(*(batch.column(c).to_pylist() for c in ("run", "signature", "content")), strict=True):
+                codes = np.frombuffer(data, "<u4")
+                sets = np.sort(np.lib.stride_tricks.sliding_window_view(codes, size), axis=1)
+                least = int((1 + (sets[:, 1:] != sets[:, :-1]).sum(1)).min())
+                kinds = np.unique(codes).astype(np.int64)
+                out.append(np.column_stack([np.full(len(kinds), sign), np.full(len(kinds), run), kinds, np.full(len(kinds), least)]))
+            found = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], ["signature", "run", "token", "least"])
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [np.zeros((0, 3), np.int64)]
+            for r in batch.to_pylist():
+                codes = np.frombuffer(r["content"], "<u4")
+                known = np.array([[t["token"], t["n"], t["least"]] for t in r["tokens"]], np.int64)
+                known = known[np.lexsort((known[:, 0], known[:, 1]))]
+                order = np.argsort(known[:, 0])
+                rank = order[np.searchsorted(known[:, 0], codes, sorter=order)]
+                kept = set()
+                for window in np.lib.stride_tricks.sliding_window_view(rank, size):
+                    own = np.unique(window)
+                    m = len(own)
+                    partner = np.maximum(known[own, 2], similarity * m)
+                    enough = m - np.arange(m) >= similarity / (1 + similarity) * (m + partner) - 1e-9
+                    kept.update(own[enough & (known[own, 1] > 1)].tolist())
+                t = known[sorted(kept), 0]
+                out.append(np.column_stack([np.full(len(t), r["signature"]), np.full(len(t), r["run"]), t]))
+            found = np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], ["signature", "run", "token"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            sides = [pa.RecordBatch.from_arrays([batch.column(f"{x}{c}") for c in RUN], RUN) for x in "xy"]
+            r = _arrays(pa.Table.from_batches(sides).combine_chunks().to_batches()[0]) if n else None
+            if n:
+                links = _linked_pairs(r, np.arange(n), np.arange(n) + n, words, size, similarity)
+                runs_of = [batch.column(c).take(pa.array(links[0])) for c in ("a", "b")]
+                yield pa.RecordBatch.from_arrays([*runs_of, *links[1].columns], ["a", "b", *links[1].schema.names])
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        sides = [runs.select(F.col("run").alias(k), *[F.col(c).alias(f"{x}{c}") for c in RUN]) for x, k in (("x", "a"), ("y", "b"))]
+        near = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
+        return staged(near.mapInArrow(compare, f"a long, b long, {LINK}"))
+
+    every = staged(runs.select("signature", "run", "content").mapInArrow(tokens, "signature long, run long, token long, least long"))
+    counts = every.groupBy("signature", "token").agg(F.count("*").alias("n"), F.min("least").alias("least"))
+    lists = every.drop("least").join(counts.hint("merge"), ["signature", "token"]).groupBy("run").agg(
+        F.collect_list(F.struct("token", "n", "least")).alias("tokens"))
+    key = ["signature", "token"]
+    prefixes = staged(runs.select("run", "signature", "content").join(lists, "run").mapInArrow(rare, "signature long, run long, token long"))
+    sizes = prefixes.groupBy(*key).agg(F.count("*").alias("n"), F.min("run").alias("lead")).where("n > 1")
+    members = staged(prefixes.join(sizes.hint("merge"), key))
+    small, crowd = members.where(F.col("n") <= GROUP), members.where(F.col("n") > GROUP)
+    other = small.select(*key, F.col("run").alias("b"))
+    found = verified(small.select(*key, F.col("run").alias("a")).join(other, key).where("a > b").select("a", "b").union(
+        crowd.where("run > lead").select(F.col("run").alias("a"), F.col("lead").alias("b"))))
+    label = components(found.select("a", "b"))
+    left = staged(crowd.join(label.hint("merge"), crowd["run"] == label["node"], "left").select(
+        *key, "run", F.coalesce("root", "run").alias("label")))
+    other = left.select(*key, F.col("run").alias("b"), F.col("label").alias("other"))
+    more = verified(left.join(other, key).where("run > b AND label <> other").select(F.col("run").alias("a"), "b"))
+    out = staged(found.union(more).drop("a", "b"))
+    for old in (runs, every, prefixes, members, found, label, left, more):
+        discard(old)
+    return out
+
+
+RUN = ["signature", "row", "first", "last", "root", "content"]
+
+
+def _linked_pairs(r: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, words: int, size: int, similarity: float) -> tuple[np.ndarray, pa.RecordBatch]:
+    """Numbers of the pairs that are linked, and their links."""
+    shift = r["root"][a] - r["root"][b]
+    apart = np.flatnonzero((r["row"][a] != r["row"][b]) | (np.abs(shift) >= words))
+    a, b, shift = a[apart], b[apart], shift[apart]
+    found, low, high = alike_ranges(r["codes"], r["base"], r["first"], r["last"], r["root"], a, b, size, similarity)
+    return apart[found], _link_batch(r["row"][a[found]], r["row"][b[found]], low, high, low - shift[found])
+
+
 def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 50, width: int = 5,
                       similarity: float = 0.8, signatures: int = 8) -> DataFrame:
     """Passages of at least `words` words that repeat, exactly or nearly: (doc_id, start_word, end_word, class_id, class_doc).
 
-    Windows of `words` words with equal content are linked as they are. Those that share a signature are compared:
+    Runs of windows of `words` words that share a signature and are equal are linked as they are. Others of one signature are compared:
     put side by side by the place of the signature's root, the Jaccard similarity of their `width`-word shingles must
-    reach `similarity` at a place that both runs have. There are `signatures` independent signatures, joined one after the
-    other; of each only the verified links are kept. Overlapping windows of a document are one passage, half-open in word positions;
+    reach `similarity` at a place that both runs have. There are `signatures` independent signatures, and only verified links are
+    kept. Overlapping windows of a document are one passage, half-open in word positions;
     linked passages are a class, whose id is its smallest passage number and whose class_doc is its smallest document id.
-    Up to 16 windows of one signature and different contents are compared all with all; beyond, each is
-    compared with the first and with its neighbour, and copies are never expanded into pairs.
+    Where many contents share a signature, runs are compared if they share a shingle that is rare among them, which
+    similar ones do; copies are never expanded into pairs.
 
     Null texts are empty; texts under `words` words have no passages; a passage that repeats within one document
     counts, unless its copies overlap. Ids may be null or repeat: rows are told apart by number. An empty table
     gives an empty result, and other columns are not looked at.
     """
     rows = numbered(docs.select(F.col(doc_id).alias("id"), text_or_empty(text).alias("text")))
-    found = None
-    for pair in range(signatures):
-        more = _found(rows, pair, width, words, similarity)
-        found = more if found is None else found.union(more)
-    found = staged(found.distinct())
-    both = found.select("row", F.col("at").alias("first")).union(found.select("to_row", "to_at")).distinct()
+    size, parts, waiting = words - width + 1, [], []
+    for pair in range(0, signatures, AT_ONCE):
+        links, runs = shared_runs(rows, range(pair, min(pair + AT_ONCE, signatures)), width, words)
+        parts.append(links)
+        waiting.append(runs)
+        if len(waiting) * AT_ONCE >= COMPARED or pair + AT_ONCE >= signatures:
+            several = reduce(DataFrame.union, waiting)
+            parts.append(staged(few_links(contents(rows, several.where(F.col("k") <= GROUP), width, size), words, size, similarity)))
+            crowded = several.where(F.col("k") > GROUP)
+            if not crowded.isEmpty():
+                parts.append(crowd_links(contents(rows, crowded, width, size), words, size, similarity))
+            for old in waiting:
+                discard(old)
+            waiting = []
+    found = staged(reduce(DataFrame.union, parts).distinct())
+    for old in parts:
+        discard(old)
+    end = F.col("to_low") + F.col("high") - F.col("low")
+    both = found.select("row", F.col("low").alias("first"), F.col("high").alias("last")).union(
+        found.select("to_row", "to_low", end)).groupBy("row", "first").agg(F.max("last").alias("last"))
     order = Window.partitionBy("row").orderBy("first")
-    new = (F.col("first") - F.lag("first").over(order) > words) | F.lag("first").over(order).isNull()
-    placed = both.withColumn("passage", F.sum(new.cast("int")).over(order))
+    before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = both.withColumn("new", ((F.col("first") - before > words) | before.isNull()).cast("int")).withColumn("passage", F.sum("new").over(order))
     passages = numbered(placed.groupBy("row", "passage").agg(
-        F.min("first").alias("start_word"), (F.max("first") + words).alias("end_word")), "number")
+        F.min("first").alias("start_word"), (F.max("last") + words).alias("end_word")), "number")
     of_window = staged(placed.join(passages.select("row", "passage", "number"), ["row", "passage"]).select("row", "first", "number"))
-    edges = found.join(of_window.select("row", F.col("first").alias("at"), F.col("number").alias("a")), ["row", "at"]).join(
-        of_window.select(F.col("row").alias("to_row"), F.col("first").alias("to_at"), F.col("number").alias("b")), ["to_row", "to_at"])
+    edges = found.join(of_window.select("row", F.col("first").alias("low"), F.col("number").alias("a")), ["row", "low"]).join(
+        of_window.select(F.col("row").alias("to_row"), F.col("first").alias("to_low"), F.col("number").alias("b")), ["to_row", "to_low"])
     roots = components(edges.select("a", "b"))
+    for old in (found, of_window):
+        discard(old)
     ids = rows.select("row", "id")
     out = staged(passages.join(roots, passages["number"] == roots["node"], "left").select(
         "row", "start_word", "end_word", F.coalesce("root", "number").alias("class_id")).join(ids, "row"))
     least = staged(out.groupBy("class_id").agg(F.min("id").alias("class_doc")))
-    discard(found)
     return out.join(least, "class_id").select(F.col("id").alias("doc_id"), "start_word", "end_word", "class_id", "class_doc")
-
-
-def _found(rows: DataFrame, pair: int, width: int, words: int, similarity: float) -> DataFrame:
-    """Verified links (row, at, to_row, to_at) between windows that share the signature of one pair; staged."""
-    size = words - width + 1
-    links = staged(signature_links(window_rows(rows, "text", "row", width, size, pair)).where(
-        (F.col("row") != F.col("to_row")) | (F.abs("shift") >= words)))
-    found = links.where("equal = 1").select("row", F.col("low").alias("at"), "to_row", (F.col("low") - F.col("shift")).alias("to_at"))
-    unsure = staged(links.where("equal = 0").drop("equal").distinct())
-    used = [links, unsure]
-    if not unsure.isEmpty():
-        runs = unsure.select("row", "first", F.col("high").alias("last")).union(
-            unsure.select("to_row", "to_first", F.col("high") - F.col("shift")))
-        wanted = runs.groupBy("row", "first").agg(F.max("last").alias("last")).groupBy("row").agg(
-            F.collect_list(F.struct("first", "last")).alias("places"))
-        content = staged(_contents(rows.join(wanted, "row"), width, size))
-        used.append(content)
-        near = unsure.join(content, ["row", "first"]).join(
-            content.select(*[F.col(c).alias(f"to_{c}") for c in content.columns]), ["to_row", "to_first"])
-        found = found.union(_alike(near, size, similarity))
-    found = staged(found.distinct())
-    for old in used:
-        discard(old)
-    return found
-
-
-def _contents(rows: DataFrame, width: int, size: int) -> DataFrame:
-    """Shingle hashes, 32 bits each, from the first window of wanted runs to the end of the last: (row, first, content)."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, places = batch.column("row").to_pylist(), batch.column("places").to_pylist()
-            data, offsets = utf8(batch.column("text"))
-            for i, (key, own) in enumerate(zip(keys, places, strict=True)):
-                hashes = shingles(data[offsets[i]:offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]]), width)[0].astype("<u4")
-                for a in range(0, len(own), 4096):
-                    part = own[a:a + 4096]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([key] * len(part), pa.int64()), pa.array([s["first"] for s in part], pa.int32()),
-                         pa.array([hashes[s["first"]:s["last"] + size].tobytes() for s in part], pa.binary())], ["row", "first", "content"])
-
-    return rows.select("row", "places", "text").mapInArrow(cut, "row long, first int, content binary")
-
-
-def alike_places(a: list[int], b: list[int], n: int, size: int, similarity: float) -> Iterator[int]:
-    """Places under `n` at which the windows of `size` shingles of `a` and `b` are similar enough; a step costs one shingle."""
-    one, two = Counter(a[:size]), Counter(b[:size])
-    common = len(one.keys() & two.keys())
-    for i in range(n):
-        if common >= similarity * (len(one) + len(two) - common):
-            yield i
-        if i + 1 < n:
-            for own, other, x in ((one, two, a), (two, one, b)):
-                old, new = x[i], x[i + size]
-                own[old] -= 1
-                if not own[old]:
-                    del own[old]
-                    common -= old in other
-                common += new not in own and new in other
-                own[new] += 1
-
-
-def _alike(near: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(row, at, to_row, to_at) of windows side by side that are similar enough, at every place of both runs."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                a, b = np.frombuffer(r["content"], "<u4"), np.frombuffer(r["to_content"], "<u4")
-                low, high = r["low"], r["high"]
-                a, b = a[low - r["first"]:].tolist(), b[low - r["shift"] - r["to_first"]:].tolist()
-                out += [(r["row"], low + i, r["to_row"], low + i - r["shift"])
-                        for i in alike_places(a, b, high - low + 1, size, similarity)]
-            cols = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32()), strict=True)],
-                ["row", "at", "to_row", "to_at"])
-
-    return near.mapInArrow(compare, "row long, at int, to_row long, to_at int")

@@ -375,3 +375,28 @@ def test_bootstrap_goes_on_while_values_are_accepted(spark):
     assert {v for v, kind, *_ in rows if kind == "number"} <= got
     with pytest.raises(RuntimeError):
         pii.bootstrap(found, rounds=2)
+
+
+@pytest.mark.parametrize("changed", [False, True])
+def test_passages_around_a_common_line(spark, changed):
+    # A line of 44 words in 260 documents fills most of a window, so signatures of its windows are crowded. In 40 pairs of them the
+    # words around the line are equal too; then one word of 64 is changed.
+    rng = np.random.default_rng(11)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 10**9, n)]
+
+    line, docs = words(44), []
+    for i in range(220):
+        around = words(20 if changed else 8)
+        half = len(around) // 2
+        for j in range(2 if i < 40 else 1):
+            own = around.copy()
+            if changed and j:
+                own[2] = "changed"
+            docs.append((2 * i + j, " ".join([*words(30), *own[:half], *line, *own[half:], *words(30)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    classes = {}
+    for r in substring.repeated_passages(df).collect():
+        classes.setdefault(r.class_id, set()).add(r.doc_id)
+    assert sorted(classes.values(), key=min) == [{2 * i, 2 * i + 1} for i in range(40)]
