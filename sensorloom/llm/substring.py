@@ -330,14 +330,13 @@ def crowd_links(runs: DataFrame, words: int, size: int, similarity: float) -> Da
                 known = known[np.lexsort((known[:, 0], known[:, 1]))]
                 order = np.argsort(known[:, 0])
                 rank = order[np.searchsorted(known[:, 0], codes, sorter=order)]
-                kept = set()
-                for window in np.lib.stride_tricks.sliding_window_view(rank, size):
-                    own = np.unique(window)
-                    m = len(own)
-                    partner = np.maximum(known[own, 2], similarity * m)
-                    enough = m - np.arange(m) >= similarity / (1 + similarity) * (m + partner) - 1e-9
-                    kept.update(own[enough & (known[own, 1] > 1)].tolist())
-                t = known[sorted(kept), 0]
+                own = np.sort(np.lib.stride_tricks.sliding_window_view(rank, size), axis=1)
+                new = np.ones(own.shape, bool)
+                new[:, 1:] = own[:, 1:] != own[:, :-1]
+                m = new.sum(1, keepdims=True)
+                partner = np.maximum(known[own, 2], similarity * m)
+                enough = m - (new.cumsum(1) - 1) >= similarity / (1 + similarity) * (m + partner) - 1e-9
+                t = known[np.unique(own[new & enough & (known[own, 1] > 1)]), 0]
                 out.append(np.column_stack([np.full(len(t), r["signature"]), np.full(len(t), r["run"]), t]))
             found = np.concatenate(out)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], ["signature", "run", "token"])
