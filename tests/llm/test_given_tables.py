@@ -145,15 +145,16 @@ def test_toxicity_held_out(spark):
 def test_every_repeated_passage_is_covered(spark, documents):
     spans, places = {}, {}
     for r in queries.QUERIES["op9_compact_windows"](spark, SF_SMALL).collect():
-        spans.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+        spans.setdefault(r.doc_id, []).append((r.start_word, r.end_word, r.class_id))
     for i, text in documents.items():
         words = text.encode().lower().split()
         for at in range(len(words) - 49):
             places.setdefault(tuple(words[at:at + 50]), set()).add((i, at))
     repeats = [p for p in places.values() if len({i for i, _ in p}) > 1]
     assert repeats
-    for i, at in set().union(*repeats):
-        assert any(a <= at and at + 50 <= b for a, b in spans[i])
+    for places_of in repeats:
+        classes = [{c for a, b, c in spans[i] if a <= at and at + 50 <= b} for i, at in places_of]
+        assert all(classes) and len(set().union(*classes)) == 1
 
 
 def test_pipeline_stages(spark, documents):
