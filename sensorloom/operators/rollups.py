@@ -80,15 +80,20 @@ def ward_running(df: DataFrame, order: list[str], ts: str = "ts", ward: str = "w
 ADVISORY_MEASURES = ("aqi", "pm25", "pm10", "no2")
 
 
+def settled(mean: str) -> Column:
+    """A mean without the last digits, which depend on the order in which its sums met; limits compare this."""
+    return F.round(mean, 9)
+
+
 def advisory_select(means: DataFrame, threshold: float = 150.0) -> DataFrame:
     """HAVING, rounding and banding on the unrounded means `avg_<measure>`."""
-    kept = means.where(F.col("avg_aqi") > threshold)
+    kept = means.where(settled("avg_aqi") > threshold)
     return kept.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "zone", "zone_name", "population", "num_schools", "num_hospitals",
         *[round_half_up(f"avg_{m}", 1).alias(f"rolling_avg_{m}") for m in ADVISORY_MEASURES],
-        advisory_level("avg_aqi").alias("advisory_level"),
+        advisory_level(settled("avg_aqi")).alias("advisory_level"),
     )
 
 
@@ -123,7 +128,7 @@ def sliding_advisory(air: DataFrame, profile: DataFrame, ts: str = "ts",
         (F.sum(f"sum_{m}") / F.nullif(F.sum(f"n_{m}"), F.lit(0))).alias(f"avg_{m}")
         for m in ADVISORY_MEASURES
     ])
-    hot = means.where(F.col("avg_aqi") > threshold)
+    hot = means.where(settled("avg_aqi") > threshold)
     return advisory_select(hot.join(profile.select(*PROFILE_COLUMNS), "zone"), threshold)
 
 
