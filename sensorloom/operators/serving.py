@@ -61,18 +61,21 @@ def summary_rows(envelope: DataFrame) -> DataFrame:
         "partition", "offset", "timestamp", "d.*").where(F.col("window_start").isNotNull())
 
 
-def query_ward(spark: SparkSession, archive: str, topic: DataFrame | str, ward: str, total: int = 10_000,
+def query_ward(spark: SparkSession, archive: str, topic: DataFrame | str, ward: str, total: int | None = 10_000,
                order: list[str] | None = None, name: str = "ward_energy_summary", **options) -> DataFrame:
     """The serving view of one ward: its folders of the archive at a path, and about `total` newest topic records.
 
     The archive scan is pruned to the ward; of the topic only the tail is decoded, and of a topic folder only the files of
-    the tail are opened. Options are those of `merge_views`.
+    the tail are opened. Without a `total` the whole topic is. Options are those of `merge_views`.
     """
     from sensorloom.sources.offsets import tail_of
     from sensorloom.sources.tables import archive_rows, ward_archive
-    from sensorloom.sources.topics import tail_total
+    from sensorloom.sources.topics import scan_topics, tail_total
 
-    newest = tail_of(spark, topic, [name], total=total) if isinstance(topic, str) else tail_total(topic, total)
+    if isinstance(topic, str):
+        newest = scan_topics(spark, [name], path=topic) if total is None else tail_of(spark, topic, [name], total=total)
+    else:
+        newest = topic if total is None else tail_total(topic, total)
     return ward_view(archive_rows(ward_archive(spark, archive)), summary_rows(newest), ward,
                      order or ["timestamp", "offset"], **options)
 

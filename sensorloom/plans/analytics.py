@@ -513,14 +513,9 @@ def serving_ward(spark, sf):
     return _rounded_view(serving.ward_view(*archive_and_topic(spark, sf), "W7", ["offset"]))
 
 
-# Wards of odd number are one of the topic's two partitions; of each the last 300 offsets are read.
-_TAIL_VIEWS = _VIEWS.replace("FROM running GROUP BY", """FROM running WHERE event_id >= (
-             SELECT max(event_id) + 1 - 300 FROM running WHERE CAST(substring(ward_id, 2) AS INTEGER) % 2 = 1) GROUP BY""")
-
-
-@query("serving_query", check_views("meters") + _TAIL_VIEWS + "SELECT * FROM merged WHERE ward_id = 'W7'")
+@query("serving_query", check_views("meters") + _VIEWS + "SELECT * FROM merged WHERE ward_id = 'W7'")
 def serving_query(spark, sf):
-    """The whole way: a written, partitioned archive and a topic folder of JSON summaries, tail, decode and merge, for one ward."""
+    """The whole way: a written, partitioned archive and a topic folder of JSON summaries, all decoded and merged, for one ward."""
     _, topic = archive_and_topic(spark, sf)
     path, folder = (f"{staging_dir(spark)}/{kind}-{uuid.uuid4().hex}" for kind in ("archive", "topic"))
     batch = rollups.ward_rollup(shape(spark, sf, "meters").where(F.col("ts") < F.lit(CUT)), width=WIDE)
@@ -529,7 +524,7 @@ def serving_query(spark, sf):
     offsets.write_topic(topic.select(
         F.col("ward_id").alias("key"), body.alias("value"), F.lit("ward_energy_summary").alias("topic"),
         F.expr("cast(substring(ward_id, 2) as int) % 2").alias("partition"), "offset", F.lit(None).cast("timestamp").alias("timestamp")), folder, 8)
-    return _rounded_view(serving.query_ward(spark, path, folder, "W7", order=["offset"], total=600))
+    return _rounded_view(serving.query_ward(spark, path, folder, "W7", total=None, order=["offset"]))
 
 
 @query("layer_anchor", check_views("meters") + _VIEWS + """,

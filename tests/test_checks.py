@@ -27,6 +27,11 @@ def test_entry_points(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_serving_query_reads_the_whole_topic(spark):
+    whole, ward = (sorted(QUERIES[n].run(spark, SF_SMALL).collect()) for n in ("serving_query", "serving_ward"))
+    assert whole == ward and len({r.window_start for r in whole if r.source_layer == "SPEED"}) > 30
+
+
 def test_no_quadratic_joins(spark):
     for name, q in QUERIES.items():
         plan = q.run(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
