@@ -11,7 +11,9 @@ updates with position intervals:
 Time has levels, each with nodes four times as long as the one below. An interval is filed at the level whose
 nodes are just as long as itself, so it lies in two of them at most, whether it lasts a second or a month; an
 update looks into its own node of every level that its route uses. A vehicle has only a few intervals of one
-level in a node, so what is looked at follows what is found, at any mixture of reporting intervals.
+level in a node, so what is looked at follows what is found, at any mixture of reporting intervals. Time does not tell
+apart what happens within a second, or at one instant; intervals that short are filed alike by the numbers of the updates in
+their second, which is right however many there are.
 
 A cell is at least the distance wide, so a position is filed in its own cell and the eight around it. Cells of a
 band go round the globe, so the 180th meridian is no border, and a band near a pole is one cell.
@@ -85,18 +87,28 @@ def positions(df: DataFrame, route: str = "route_id", bus: str = "bus_id", ts: s
     )
 
 
+PLACE = ["_second", "_at", "_rows"]  # an update's second, its number among the route's updates there, and how many there are
+
+
+def placed(known: DataFrame) -> DataFrame:
+    """Positions with their place in their second."""
+    there = Window.partitionBy("route", "_second")
+    return known.withColumn("_second", time_node(F.unix_micros("ts"), F.lit(0))).withColumn(
+        "_at", F.row_number().over(there.orderBy(*ordering(["ts", "id"])))).withColumn("_rows", F.count("*").over(there))
+
+
 LEVEL_STEP = 2  # a level's nodes are two to this power as long as those of the level below
 FINEST = 1_000_000  # microseconds of a node at level 0
 
 
-def time_level(length: Column) -> Column:
-    """The lowest level whose nodes are as long as `length` microseconds."""
-    above = F.ceil(F.log2(F.greatest(length, F.lit(1)) / F.lit(FINEST)) / LEVEL_STEP)
+def time_level(length: Column, finest: int = FINEST) -> Column:
+    """The lowest level whose nodes are as long as `length`, in microseconds unless `finest`, a node at level 0, is in other units."""
+    above = F.ceil(F.log2(F.greatest(length, F.lit(1)) / F.lit(finest)) / LEVEL_STEP)
     return F.greatest(above, F.lit(0)).cast("int")
 
 
-def time_node(us: Column, level: Column) -> Column:
-    size = F.call_function("shiftleft", F.lit(FINEST).cast("bigint"), (level * LEVEL_STEP).cast("int"))
+def time_node(us: Column, level: Column, finest: int = FINEST) -> Column:
+    size = F.call_function("shiftleft", F.lit(finest).cast("bigint"), (level * LEVEL_STEP).cast("int"))
     return F.floor((us - F.pmod(us, size)) / size).cast("bigint")
 
 
@@ -117,12 +129,52 @@ def held_intervals(known: DataFrame, ttl: str | None = None) -> DataFrame:
 
 def filed(held: DataFrame, distance: float) -> DataFrame:
     """Intervals in the nodes and cells at which updates look: two by nine rows for each at most."""
-    band, lon = _band(F.col("p.lat"), distance), F.col("p.lon")
     nodes = F.sequence(time_node(F.col("_from"), F.col("_level")), time_node(F.col("_until"), F.col("_level")))
-    return held.select("route", "_level", F.explode(nodes).alias("_node"), "p").select(
-        "*", F.explode(F.array(*[band + d for d in (-1, 0, 1)])).alias("_band")).select(
-        "route", "_level", "_node", "_band",
-        F.explode(F.array_distinct(F.array(*[_strip(F.col("_band"), lon, distance, d) for d in (-1, 0, 1)]))).alias("_strip"), "p")
+    return _in_cells(held.select("route", "_level", F.explode(nodes).alias("_node"), "p"), distance)
+
+
+def _in_cells(held: DataFrame, distance: float) -> DataFrame:
+    band, lon = _band(F.col("p.lat"), distance), F.col("p.lon")
+    return held.select("*", F.explode(F.array(*[band + d for d in (-1, 0, 1)])).alias("_band")).select(
+        "*", F.explode(F.array_distinct(F.array(*[_strip(F.col("_band"), lon, distance, d) for d in (-1, 0, 1)]))).alias("_strip"))
+
+
+def brief() -> Column:
+    """Whether the vehicle's next update comes within a second."""
+    return F.coalesce(F.unix_micros("next.ts") - F.unix_micros("ts") <= F.lit(FINEST), F.lit(False))
+
+
+def brief_intervals(places: DataFrame) -> DataFrame:
+    """Brief intervals as the updates of the route between their ends: (route, _second, _low, _high, p, _level).
+
+    One row for each second that they touch, two at most; `_low` and `_high` are numbers of updates there. Intervals without an
+    update between their ends have no row.
+    """
+    after = places.select("route", "bus", (F.col("n") - 1).alias("n"), F.col("_second").alias("_then"), F.col("_at").alias("_next_at"))
+    ends = places.where(brief()).join(after, ["route", "bus", "n"])
+
+    def part(second: str, low: Column, high: Column) -> Column:
+        return F.struct(F.col(second).alias("_second"), low.cast("long").alias("_low"), high.cast("long").alias("_high"))
+
+    begin, end = F.col("_at") + 1, F.col("_next_at") - 1
+    parts = F.when(F.col("_then") == F.col("_second"), F.array(part("_second", begin, end))).otherwise(
+        F.array(part("_second", begin, F.col("_rows")), part("_then", F.lit(1), end)))
+    cut = ends.select("route", F.struct("bus", "ts", "id", "lat", "lon", "n", "next").alias("p"), F.inline(parts))
+    return cut.where(F.col("_low") <= F.col("_high")).withColumn("_level", time_level(F.col("_high") - F.col("_low"), 1))
+
+
+def brief_candidates(places: DataFrame, distance: float) -> DataFrame:
+    """(route, u, p): updates and brief intervals in whose node of updates and cells they are."""
+    held = brief_intervals(places)
+    nodes = F.sequence(time_node(F.col("_low"), F.col("_level"), 1), time_node(F.col("_high"), F.col("_level"), 1))
+    kept = _in_cells(held.select("route", "_second", "_level", F.explode(nodes).alias("_node"), "p"), distance)
+    levels = held.groupBy("route", "_second").agg(F.collect_set("_level").alias("_levels"))
+    band = _band(F.col("lat"), distance)
+    looks = places.join(levels.hint("merge"), ["route", "_second"]).select(
+        "route", "_second", F.explode("_levels").alias("_level"), band.alias("_band"), _strip(band, F.col("lon"), distance).alias("_strip"),
+        F.struct("bus", "ts", "id", "lat", "lon", "n").alias("u"), "_at"
+    ).withColumn("_node", time_node(F.col("_at").cast("long"), F.col("_level"), 1))
+    return looks.join(kept.hint("merge"), ["route", "_second", "_level", "_node", "_band", "_strip"]).select("route", "u", "p")
 
 
 def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None = None,
@@ -133,8 +185,9 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
     steps have no update between them at which the pair was apart. `ttl` forgets positions; without
     it they are kept until replaced. Positions are staged, which runs a job when the query is built.
     """
-    known = materialize(positions(df, slice_width=slice_width, **columns))
-    held = held_intervals(known, ttl)
+    places = materialize(placed(positions(df, slice_width=slice_width, **columns)))
+    known = places.drop(*PLACE)
+    held = held_intervals(known.where(~brief()), ttl)  # the newest update of a route has none after it, so it is there
     levels = held.groupBy("route").agg(F.collect_set("_level").alias("_levels"))
     band = _band(F.col("lat"), distance)
     looks = known.join(levels, "route").select(
@@ -148,7 +201,8 @@ def near_observations(df: DataFrame, distance: float = 200.0, ttl: str | None =
     metres = haversine("u.lat", "u.lon", "p.lat", "p.lon")
     # Both sides grow with the data, and size estimates do not see the copies made above; a sorted
     # merge spills and lets adaptive execution split a crowded cell.
-    met = looks.join(filed(held, distance).hint("merge"), ["route", "_level", "_node", "_band", "_strip"]).where(
+    met = looks.join(filed(held, distance).hint("merge"), ["route", "_level", "_node", "_band", "_strip"]).select(
+        "route", "u", "p").unionByName(brief_candidates(places, distance)).where(
         (F.col("u.bus") != F.col("p.bus")) & holds & (metres < distance)
     )
     u_first = F.col("u.bus") < F.col("p.bus")
