@@ -249,17 +249,73 @@ def alike_ranges(codes: np.ndarray, base: np.ndarray, first: np.ndarray, last: n
     return found, place[begin], place[np.append(begin[1:], len(at)) - 1]
 
 
-def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    """Columns of runs with contents, with all codes end to end."""
-    content = batch.column("content").cast(pa.large_binary())
+def _codes(content: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All codes end to end, and where each content begins and the last one ends."""
+    content = content.cast(pa.large_binary())
     _, offsets, data = content.buffers()
     offsets = np.frombuffer(offsets, np.int64)[content.offset:content.offset + len(content) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view("<u4"), (offsets - offsets[0]) // 4
+
+
+def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """Columns of runs with contents, with all codes end to end."""
     out = {c: batch.column(c).to_numpy().astype(np.int64) for c in ("signature", "row", "first", "last", "root")}
-    out["codes"] = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view("<u4")
-    out["base"] = (offsets[:-1] - offsets[0]) // 4
+    out["codes"], bounds = _codes(batch.column("content"))
+    out["base"] = bounds[:-1]
     return out
 
 
+def _keyed(of: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """One number for a run's number and a code of 32 bits."""
+    return (of.astype(np.int64) << 32) | codes.astype(np.int64)
+
+
+def run_tokens(codes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different codes of each run, as (number of the run, code), and the least number of different codes in a window of each run.
+
+    Run i is `codes[bounds[i]:bounds[i + 1]]`, at least a window of `size` codes long.
+    """
+    key = _keyed(np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), codes)
+    order = np.argsort(key, kind="stable")
+    again = np.flatnonzero(key[order][1:] == key[order][:-1])
+    earlier, later = order[again], order[again + 1]
+    # A code that was there before counts for nothing in the windows that hold both places.
+    low = np.maximum(later - size + 1, bounds[:-1][key[later] >> 32])
+    high = np.minimum(earlier, bounds[1:][key[later] >> 32] - size)
+    inside = low <= high
+    n = len(codes) + 1
+    repeats = np.cumsum(np.bincount(low[inside], minlength=n) - np.bincount(high[inside] + 1, minlength=n))
+    kinds = key[order][np.append(True, key[order][1:] != key[order][:-1])]
+    return kinds >> 32, kinds & 0xFFFFFFFF, size - np.maximum.reduceat(repeats, bounds[:-1])
+
+
+def rare_tokens(codes: np.ndarray, bounds: np.ndarray, of: np.ndarray, token: np.ndarray, n: np.ndarray, least: np.ndarray,
+                size: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the run, code): the codes of which two similar windows share one.
+
+    In each window the rarest codes, by `n`, as many as a similar window cannot do without all of. `of`, `token`, `n` and `least` are the runs' codes,
+    by run; codes with `n` of 1 are in no other run.
+    """
+    order = np.lexsort((token, n, of))  # a code's place here is its rank in its run
+    of, token, n, least = of[order], token[order], n[order], least[order]
+    key = _keyed(of, token)
+    by_key = np.argsort(key)
+    rank = by_key[np.searchsorted(key, _keyed(np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), codes), sorter=by_key)]
+    windows = np.maximum(np.diff(bounds) - size + 1, 0)
+    starts = np.arange(int(windows.sum())) + np.repeat(bounds[:-1] - np.cumsum(windows) + windows, windows)
+    chosen = np.zeros(len(token), bool)
+    for x in range(0, len(starts), 1 << 13):
+        own = np.sort(rank[starts[x:x + (1 << 13), None] + np.arange(size)], axis=1)
+        new = np.ones(own.shape, bool)
+        new[:, 1:] = own[:, 1:] != own[:, :-1]
+        m = new.sum(1, keepdims=True)
+        partner = np.maximum(least[own], similarity * m)
+        enough = m - (new.cumsum(1) - 1) >= similarity / (1 + similarity) * (m + partner) - 1e-9
+        chosen[own[new & enough]] = True
+    chosen &= n > 1
+    return of[chosen], token[chosen]
+
+
 def _link_batch(row: np.ndarray, to_row: np.ndarray, low: np.ndarray, high: np.ndarray, to_low: np.ndarray) -> pa.RecordBatch:
     cols = [row, low.astype(np.int32), high.astype(np.int32), to_row, to_low.astype(np.int32)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["row", "low", "high", "to_row", "to_low"])
@@ -311,35 +367,21 @@ def crowd_links(runs: DataFrame, words: int, size: int, similarity: float) -> Da
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for run, sign, data in zip(*(batch.column(c).to_pylist() for c in ("run", "signature", "content")), strict=True):
-                codes = np.frombuffer(data, "<u4")
-                sets = np.sort(np.lib.stride_tricks.sliding_window_view(codes, size), axis=1)
-                least = int((1 + (sets[:, 1:] != sets[:, :-1]).sum(1)).min())
-                kinds = np.unique(codes).astype(np.int64)
-                out.append(np.column_stack([np.full(len(kinds), sign), np.full(len(kinds), run), kinds, np.full(len(kinds), least)]))
-            found = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], ["signature", "run", "token", "least"])
+            if batch.num_rows:
+                of, kinds, least = run_tokens(*_codes(batch.column("content")), size)
+                own = [batch.column(c).take(pa.array(of)) for c in ("signature", "run")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(kinds), pa.array(least[of])], ["signature", "run", "token", "least"])
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [np.zeros((0, 3), np.int64)]
-            for r in batch.to_pylist():
-                codes = np.frombuffer(r["content"], "<u4")
-                known = np.array([[t["token"], t["n"], t["least"]] for t in r["tokens"]], np.int64)
-                known = known[np.lexsort((known[:, 0], known[:, 1]))]
-                order = np.argsort(known[:, 0])
-                rank = order[np.searchsorted(known[:, 0], codes, sorter=order)]
-                own = np.sort(np.lib.stride_tricks.sliding_window_view(rank, size), axis=1)
-                new = np.ones(own.shape, bool)
-                new[:, 1:] = own[:, 1:] != own[:, :-1]
-                m = new.sum(1, keepdims=True)
-                partner = np.maximum(known[own, 2], similarity * m)
-                enough = m - (new.cumsum(1) - 1) >= similarity / (1 + similarity) * (m + partner) - 1e-9
-                t = known[np.unique(own[new & enough & (known[own, 1] > 1)]), 0]
-                out.append(np.column_stack([np.full(len(t), r["signature"]), np.full(len(t), r["run"]), t]))
-            found = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], ["signature", "run", "token"])
+            if batch.num_rows:
+                lists = batch.column("tokens")
+                flat = lists.flatten()
+                known = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+                of, kinds = rare_tokens(*_codes(batch.column("content")), known, *(flat.field(c).to_numpy() for c in ("token", "n", "least")),
+                                        size, similarity)
+                own = [batch.column(c).take(pa.array(of)) for c in ("signature", "run")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(kinds)], ["signature", "run", "token"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -377,6 +377,29 @@ def test_bootstrap_goes_on_while_values_are_accepted(spark):
         pii.bootstrap(found, rounds=2)
 
 
+@pytest.mark.parametrize("seed,values", [(1, 6), (2, 40), (3, 400)])
+def test_rare_shingles_of_many_runs_equal_those_run_by_run(seed, values):
+    rnd, size, similarity = np.random.default_rng(seed), 9, 0.8
+    runs = [rnd.integers(2**32 - values, 2**32, n, dtype=np.uint32) for n in rnd.integers(size, 60, 300)]
+    codes, bounds = np.concatenate(runs), np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+    of, kinds, least = substring.run_tokens(codes, bounds, size)
+    assert list(zip(of.tolist(), kinds.tolist())) == [(i, c) for i, r in enumerate(runs) for c in sorted(set(r.tolist()))]
+    assert least.tolist() == [min(len(set(r[x:x + size].tolist())) for x in range(len(r) - size + 1)) for r in runs]
+    often = {c: int((kinds == c).sum()) for c in set(kinds.tolist())}
+    fewest = {c: int(least[of[kinds == c]].min()) for c in often}
+    want = set()
+    for i, r in enumerate(runs):
+        for x in range(len(r) - size + 1):
+            own = sorted(set(r[x:x + size].tolist()), key=lambda c: (often[c], c))
+            m = len(own)
+            want |= {(i, c) for k, c in enumerate(own)
+                     if m - k >= similarity / (1 + similarity) * (m + max(fewest[c], similarity * m)) - 1e-9 and often[c] > 1}
+    n, low = (np.array([d[c] for c in kinds.tolist()]) for d in (often, fewest))
+    mixed = np.argsort(rnd.random(len(of)) + of, kind="stable")
+    got = substring.rare_tokens(codes, bounds, of[mixed], kinds[mixed], n[mixed], low[mixed], size, similarity)
+    assert len(want) > 100 and sorted(zip(*(v.tolist() for v in got))) == sorted(want)
+
+
 @pytest.mark.parametrize("changed", [False, True])
 def test_passages_around_a_common_line(spark, changed):
     # A line of 44 words in 260 documents fills most of a window, so signatures of its windows are crowded. In 40 pairs of them the
