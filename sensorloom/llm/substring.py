@@ -16,6 +16,7 @@ from sensorloom.llm.pieces import _spread, text_ranges, utf8
 
 GROUP = 16  # runs of one signature and different contents that are compared all with all; of more, those that share a rare shingle
 AT_ONCE = 2  # signatures made in one pass over the texts
+LONG = 64  # bytes of a word that are taken together with those of other words
 COMPARED = 4  # signatures whose runs are compared in one pass
 
 
@@ -27,25 +28,38 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def word_sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A sum over the bytes of each word, each times a factor of its place: one place of all words after the other."""
+    factors = _spread(np.arange(int(lengths.max())) * 2)
+    order = np.argsort(-lengths, kind="stable")
+    at, reach = starts[order], len(starts) - np.cumsum(np.bincount(np.minimum(lengths, LONG)))  # words longer than each place
+    sums = np.zeros(len(starts), np.uint64)
+    for place, n in enumerate(reach[:-1].tolist()):
+        sums[:n] += (data[at[:n] + place].astype(np.uint64) + np.uint64(1)) * factors[place]
+    for i in np.flatnonzero(lengths[order] > LONG).tolist():
+        rest = data[at[i] + LONG:at[i] + lengths[order[i]]].astype(np.uint64) + np.uint64(1)
+        sums[i:i + 1] += (rest * factors[LONG:LONG + len(rest)]).sum()
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all runs of `width` words of texts laid end to end: (hash, text number, word position).
 
     Words are runs without ASCII white space, A-Z in lower case.
     """
-    data = data + np.where((data >= 65) & (data <= 90), 32, 0).astype(np.uint8)
-    ink = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    data = data | (((data >= 65) & (data <= 90)).view(np.uint8) << 5)
+    ink = (data != 32) & (data - np.uint8(9) > 4)
     edge = np.zeros(len(data), bool)
     edge[offsets[:-1][offsets[:-1] < len(data)]] = True
-    begin = ink.copy()
+    begin, end = ink.copy(), ink.copy()
     begin[1:] &= ~ink[:-1] | edge[1:]
+    end[:-1] &= ~ink[1:] | edge[1:]
     starts = np.flatnonzero(begin)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.flatnonzero(ink)
-    word = np.cumsum(begin)[at] - 1
-    within = at - starts[word]
-    value = (data[at].astype(np.uint64) + np.uint64(1)) * _spread(np.arange(int(within.max()) + 1) * 2)[within]
-    hashes = mixed(np.add.reduceat(value, np.flatnonzero(begin[at])), 0)
+    hashes = mixed(word_sums(data, starts, np.flatnonzero(end) + 1 - starts), 0)
     text = np.searchsorted(offsets, starts, "right") - 1
     position = np.arange(len(starts)) - np.searchsorted(text, text, "left")
     n = len(starts) - width + 1

@@ -377,6 +377,24 @@ def test_bootstrap_goes_on_while_values_are_accepted(spark):
         pii.bootstrap(found, rounds=2)
 
 
+@pytest.mark.parametrize("longest, number", [(3, 3), (16, 6), (64, 8), (5000, 10)])
+def test_shingles_of_texts_end_to_end(longest, number):
+    texts = ["", "One two\u00a0three  FOUR\tfive\nsix", "é", "a", "x" * 63 + " " + "Y" * 64 + " " + "z" * 65 + " w " + "V" * 5000 + " end", "", "b c d e f", " "]
+    data = [b" ".join(w for w in t.encode().split(b" ") if len(w) <= longest) for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    with np.errstate(over="ignore"):
+        want = []
+        for n, d in enumerate(data):
+            words = [np.frombuffer(w, np.uint8).astype(np.uint64) + np.uint64(1) for w in d.lower().split()]
+            own = [substring.mixed(np.array([(w * substring._spread(np.arange(len(w)) * 2)).sum()], np.uint64), 0) for w in words]
+            for x in range(len(own) - 2):
+                factors = substring._spread(np.arange(3) * 2 + 1_000_003)
+                want.append((int(substring.mixed(sum(h * f for h, f in zip(own[x:x + 3], factors)), 0)[0]), n, x))
+    got = substring.shingles(np.frombuffer(b"".join(data), np.uint8), offsets, 3)
+    assert list(zip(*(v.tolist() for v in got))) == want and len(want) == number
+    assert len(substring.shingles(np.zeros(0, np.uint8), np.zeros(2, np.int64), 3)[0]) == 0
+
+
 @pytest.mark.parametrize("seed,values", [(1, 6), (2, 40), (3, 400)])
 def test_rare_shingles_of_many_runs_equal_those_run_by_run(seed, values):
     rnd, size, similarity = np.random.default_rng(seed), 9, 0.8
