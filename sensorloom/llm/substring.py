@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,9 +15,7 @@ from sensorloom.llm.common import components, discard, numbered, staged, text_or
 from sensorloom.llm.pieces import _spread, text_ranges, utf8
 
 GROUP = 16  # runs of one signature and different contents that are compared all with all; of more, those that share a rare shingle
-AT_ONCE = 2  # signatures made in one pass over the texts
 LONG = 64  # bytes of a word that are taken together with those of other words
-COMPARED = 4  # signatures whose runs are compared in one pass
 
 
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -31,7 +29,7 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
 def word_sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A sum over the bytes of each word, each times a factor of its place: one place of all words after the other."""
     factors = _spread(np.arange(int(lengths.max())) * 2)
-    order = np.argsort(-lengths, kind="stable")
+    order = np.argsort((LONG + 1 - np.minimum(lengths, LONG + 1)).astype(np.uint8), kind="stable")
     at, reach = starts[order], len(starts) - np.cumsum(np.bincount(np.minimum(lengths, LONG)))  # words longer than each place
     sums = np.zeros(len(starts), np.uint64)
     for place, n in enumerate(reach[:-1].tolist()):
@@ -72,6 +70,12 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     return mixed(out, 0)[whole], text[:n][whole], position[:n][whole]
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray, x: int, y: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """`shingles` of the texts from x to y, half a megabyte at a time, each with the number of its first text: arrays stay in the cache."""
+    for a, b in text_ranges(offsets[x:y + 1], 1 << 19):
+        yield x + a, *shingles(data[offsets[x + a]:offsets[x + b]], offsets[x + a:x + b + 1] - offsets[x + a], width)
+
+
 def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     """Minimum of each run of `size` values, by doubling."""
     span, out = 1, values
@@ -81,138 +85,278 @@ def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(out[:len(values) - size + 1], out[size - span:]) if size > span else out
 
 
-def compact_windows(hashes: np.ndarray, text: np.ndarray, size: int, pairs: Iterable[int] = (0,)):
-    """Runs of windows that share a signature: (signature, first, last, root, hash of the first window, hash of the last).
+def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each `size` hashes in a row."""
+    n = len(hashes) - size + 1
+    with np.errstate(over="ignore"):
+        base = np.uint64(0x5851F42D4C957F2D)
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(hashes), base)]).astype(np.uint64))
+        inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(pow(int(base), -1, 1 << 64)))]).astype(np.uint64))
+        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1])])
+        return mixed((prefix[size:] - prefix[:n]) * inverse, 0)
+
+
+def compact_windows(hashes: np.ndarray, text: np.ndarray, size: int, pair: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows that share a signature: (signature, first, last).
 
     Places are indexes of shingles. A window is `size` shingles of one text. The smallest hash in it is the root of its Cartesian tree; the
     windows with one root follow each other, so nodes that span a window show as runs of sliding minima.
-    A signature is a pair of such roots under two hash functions; `pairs` names the pairs wanted.
+    A signature is a pair of such roots under two hash functions; `pair` is the number of the pair.
     """
     n = len(hashes) - size + 1
-    none = np.zeros(0, np.int64)
     if n <= 0:
-        return np.zeros(0, np.uint64), none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     whole = text[:n] == text[size - 1:]
-    with np.errstate(over="ignore"):
-        base = np.uint64(0x5851F42D4C957F2D)
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(hashes), base)]).astype(np.uint64))
-        inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(pow(int(base), -1, 1 << 64)))]).astype(np.uint64))
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1])])
-        content = mixed((prefix[size:] - prefix[:n]) * inverse, 0)
-    out = []
-    for p in pairs:
-        one = mixed(hashes, 2 * p + 1)
-        a, b = sliding_min(one, size), sliding_min(mixed(hashes, 2 * p + 2), size)
-        change = np.ones(n, bool)
-        change[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (text[1:n] != text[:n - 1]) | ~whole[:-1]
-        first = np.flatnonzero(change & whole)
-        closes = np.append(np.flatnonzero(change)[1:], n) - 1
-        last = closes[np.searchsorted(closes, first)]
-        last = np.minimum(last, np.searchsorted(text, text[first], "right") - size)
-        # In a text that repeats itself a signature can outlast its root: such runs are cut.
-        cuts = (last - first) // size + 1
+    a, b = sliding_min(mixed(hashes, 2 * pair + 1), size), sliding_min(mixed(hashes, 2 * pair + 2), size)
+    change = np.ones(n, bool)
+    change[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (text[1:n] != text[:n - 1]) | ~whole[:-1]
+    opens = np.flatnonzero(change)
+    ends_text = np.searchsorted(text, text[opens], "right") - size
+    kept = whole[opens]
+    first, last = opens[kept], np.minimum(np.append(opens[1:], n) - 1, ends_text)[kept]
+    # In a text that repeats itself a signature can outlast its root: such runs are cut.
+    cuts = (last - first) // size + 1
+    if (cuts > 1).any():
         nth = np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts)
         first, last = np.repeat(first, cuts) + nth * size, np.repeat(last, cuts)
         last = np.minimum(last, first + size - 1)
-        root = first.copy()  # the first place of the smallest hash
-        for j in range(size - 1, -1, -1):
-            root = np.where(one[first + j] == a[first], first + j, root)
-        out.append((mixed(a[first] + mixed(b[first], 77), p + 101), first, last, root, content[first], content[last]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    return mixed(a[first] + mixed(b[first], 77), pair + 101), first, last
+
+
+def roots(hashes: np.ndarray, first: np.ndarray, size: int, pair: int) -> np.ndarray:
+    """The first place of the smallest hash in the windows that begin at `first`."""
+    one = mixed(hashes, 2 * pair + 1)
+    out, least = first.copy(), one[first]
+    for j in range(1, size):
+        own = one[first + j]
+        less = own < least
+        out[less], least[less] = first[less] + j, own[less]
+    return out
 
 
-WINDOW = ["signature", "row", "first", "last", "root", "head", "tail", "to_row", "to_first"]
-WIDE = {"signature", "row", "head", "tail", "to_row"}
+RUN_TYPE = np.dtype([("signature", "<u8"), ("head", "<u8"), ("tail", "<u8"), ("span", "<i4"), ("row", "<i8"), ("first", "<i4"), ("root", "<i4"), ("block", "<i8")])
+COUNT_TYPE = np.dtype([("key", "<u8"), ("n", "<i4"), ("least", "<i4")])
+LINK_TYPE = np.dtype([("row", "<i8"), ("to_row", "<i8"), ("low", "<i4"), ("high", "<i4"), ("to_low", "<i4")])
+RUNS = "signature long, block long, row long, first int, last int, root int"
 LINK = "row long, low int, high int, to_row long, to_low int"
-CONTENT = "signature long, row long, first int, last int, root int, content binary"
+PACKETS = "bucket int, links binary"
+CONTENT = "signature long, block long, row long, first int, last int, root int, k long, content binary"
 
 
-def window_rows(rows: DataFrame, width: int, size: int, pairs: Iterable[int]) -> DataFrame:
-    """Compact windows of all texts under some pairs of hash functions; places are word positions.
+def by_bucket(values: np.ndarray, key: np.ndarray, buckets: int) -> tuple[np.ndarray, pa.Array]:
+    """Numbers of the buckets that get any of `values`, and the bytes of those each gets, by an unsigned `key`."""
+    of = (key % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    counts = np.bincount(of, minlength=buckets)
+    data = np.ascontiguousarray(values[np.argsort(of, kind="stable")])
+    offsets = np.concatenate([[0], np.cumsum(counts[counts > 0])]).astype(np.int32) * np.int32(values.itemsize)
+    found = np.flatnonzero(counts)
+    return found.astype(np.int32), pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+
+
+def unpacked(column: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
+    """All values of packets, end to end."""
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), kind)
 
-    Of runs in one block of texts with equal signature, ends and length the first is alone; the others name it in
-    `to_row` and `to_first`, so a passage in many documents is not a hot key.
-    """
-    pairs = list(pairs)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def only(column: pa.ChunkedArray, values: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """Packets with those of their values that are kept."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy()) // values.itemsize
+    offsets = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], ends])] * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(values[keep].tobytes())])
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """(id, text, row, block), staged: rows are numbered, and about 4 MB of texts that stand together are a block."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            data, offsets = utf8(batch.column(1))
+            offsets, keys = utf8(batch.column("text"))[1], batch.column("row").to_numpy()
+            block = np.zeros(len(keys), np.int64)
             for x, y in text_ranges(offsets, 4 << 20):
-                hashes, of, position = shingles(data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x], width)
-                for pair in pairs:
-                    sign, first, last, root, head, tail = compact_windows(hashes, of, size, (pair,))
-                    if not len(sign):
-                        continue
-                    own = keys[x:y][of[first]]
-                    by = pd.DataFrame({"s": sign, "h": head, "t": tail, "n": last - first}).groupby(
-                        ["s", "h", "t", "n"], sort=False).ngroup().to_numpy()
-                    lead = np.full(by.max() + 1, -1, np.int64)
-                    lead[by[::-1]] = np.arange(len(by) - 1, -1, -1)
-                    to = lead[by]
-                    alone = to == np.arange(len(by))
-                    places = [position[v].astype(np.int32) for v in (first, last, root)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sign.view(np.int64)), pa.array(own), *map(pa.array, places), pa.array(head.view(np.int64)),
-                         pa.array(tail.view(np.int64)), pa.array(own[to], mask=alone), pa.array(places[0][to], mask=alone)], WINDOW)
-
-    return rows.select("row", "text").mapInArrow(cut, ", ".join(f"{c} {'long' if c in WIDE else 'int'}" for c in WINDOW))
-
-
-def shared_runs(rows: DataFrame, pairs: Iterable[int], width: int, words: int) -> tuple[DataFrame, DataFrame]:
-    """(links, runs): links between equal runs, and one run of each content where a signature has several contents.
-
-    Signatures are counted first, so only runs whose signature is met again travel further. Equal runs are reduced by
-    a partial aggregation and linked to their first by a join; nothing gathers a signature. Both results are staged.
+                block[x:y] = keys[x]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], [*batch.schema.names, "block"])
+
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    return staged(rows.mapInArrow(deal, rows.withColumn("block", F.lit(0).cast("long")).schema))
+
+
+def met_signatures(rows: DataFrame, width: int, size: int, signatures: int, buckets: int) -> DataFrame:
+    """(block, signatures): signatures of each block that more than one run has, as packets. Staged.
+
+    A signature leaves a block twice at most, without its run: eight bytes in a packet that goes to the signature's bucket.
     """
-    windows = staged(window_rows(rows, width, words - width + 1, pairs))
-    sent = windows.where("to_row IS NULL").drop("to_row", "to_first")
-    often = sent.groupBy("signature").agg(F.count("*").alias("n")).where("n > 1").select("signature")
-    met = staged(sent.join(often.hint("merge"), "signature").withColumn("span", F.col("last") - F.col("first")))
-    content = ["signature", "head", "tail", "span"]
-    kinds = staged(met.groupBy(*content).agg(F.min(F.struct("row", "first", "root")).alias("lead"), F.count("*").alias("n")))
-    equal = met.join(kinds.where("n > 1").hint("merge"), content).select(
-        "row", F.col("first").alias("low"), F.col("last").alias("high"), F.col("lead.row").alias("to_row"), F.col("lead.first").alias("to_low"))
-    inside = windows.where("to_row IS NOT NULL").select(
-        "row", F.col("first").alias("low"), F.col("last").alias("high"), "to_row", F.col("to_first").alias("to_low"))
-    links = staged(equal.union(inside).where((F.col("row") != F.col("to_row")) | (F.abs(F.col("low") - F.col("to_low")) >= words)).distinct())
-    several = kinds.groupBy("signature").agg(F.count("*").alias("k")).where("k > 1")
-    runs = staged(kinds.join(several.hint("merge"), "signature").select(
-        "signature", "k", "lead.row", "lead.first", (F.col("lead.first") + F.col("span")).alias("last"), "lead.root"))
-    for old in (windows, met, kinds):
-        discard(old)
-    return links, runs
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            data, offsets = utf8(batch.column("text"))
+            bounds = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
+            for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                parts = [compact_windows(hashes, of, size, pair)[0] for _, hashes, of, _ in pieces(data, offsets, x, y, width) for pair in range(signatures)]
+                signs = np.sort(np.concatenate(parts))
+                signs = signs[np.append([True, True], signs[2:] != signs[:-2])[:len(signs)]]
+                if len(signs):
+                    found, data_of = by_bucket(signs, signs, buckets)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), block[x])), data_of], ["bucket", "block", "signatures"])
+
+    def again(packets: pa.Table) -> pa.Table:
+        signs = unpacked(packets.column("signatures"), np.dtype("<u8"))
+        ordered = np.sort(signs)
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        keep = np.zeros(len(signs), bool)
+        if len(twice):
+            keep = twice[np.minimum(np.searchsorted(twice, signs), len(twice) - 1)] == signs
+        out = pa.table({"block": packets.column("block"), "signatures": only(packets.column("signatures"), signs, keep)})
+        return out.filter(pc.greater(pc.binary_length(out.column("signatures")), 0))
+
+    packets = rows.select("block", "text").mapInArrow(sent, "bucket int, block long, signatures binary")
+    return staged(packets.groupBy("bucket").applyInArrow(again, "block long, signatures binary"))
+
+
+def shared_runs(rows: DataFrame, met: DataFrame, width: int, words: int, signatures: int, buckets: int) -> DataFrame:
+    """Links between equal runs as packets of `links`, and a row for each content of a signature. Staged.
+
+    Of equal runs in a block only the first travels, to the bucket of its content, and is linked there to the first of all. So
+    a bucket gets a passage once for a block at most, however many documents have it, and nothing gathers a signature.
+    """
+    size = words - width + 1
+
+    def cut(texts: pa.Table, wanted: pa.Table) -> pa.Table:
+        parts = []
+        if texts.num_rows and wanted.num_rows:
+            twice = np.unique(unpacked(wanted.column("signatures"), np.dtype("<u8")))
+            low_bits, some = np.uint64((1 << 22) - 1), np.zeros(1 << 22, bool)  # most others fail here
+            some[twice & low_bits] = True
+            keys, block = texts.column("row").to_numpy(), texts.column("block")[0].as_py()
+            data, offsets = utf8(texts.column("text").combine_chunks())
+            for x, hashes, of, position in pieces(data, offsets, 0, len(keys), width):
+                content = window_hashes(hashes, size) if len(hashes) >= size else None
+                for pair in range(signatures):
+                    sign, first, last = compact_windows(hashes, of, size, pair)
+                    maybe = np.flatnonzero(some[sign & low_bits])
+                    keep = maybe[twice[np.minimum(np.searchsorted(twice, sign[maybe]), len(twice) - 1)] == sign[maybe]]
+                    sign, first, last = sign[keep], first[keep], last[keep]
+                    if len(sign):
+                        runs = np.empty(len(sign), RUN_TYPE)
+                        runs["signature"], runs["head"], runs["tail"], runs["span"] = sign, content[first], content[last], last - first
+                        runs["row"], runs["first"], runs["block"] = keys[x + of[first]], position[first], block
+                        runs["root"] = position[roots(hashes, first, size, pair)]
+                        parts.append(runs)
+        runs = np.concatenate([np.zeros(0, RUN_TYPE), *parts])
+        leads, lead = first_of_equal(runs)
+        links, runs = links_of(runs, lead, words), runs[leads]
+        found, data_of = by_bucket(runs, content_key(runs), buckets)
+        linked, links_data = by_bucket(links, links["row"].view(np.uint64), buckets)
+        none = [pa.nulls(len(linked), pa.binary()), pa.nulls(len(found), pa.binary())]
+        return pa.table({"bucket": pa.chunked_array([pa.array(found), pa.array(linked)]), "runs": pa.chunked_array([data_of, none[0]]),
+                         "links": pa.chunked_array([none[1], links_data])})
+
+    def lead_out(packets: pa.Table) -> pa.Table:
+        runs = unpacked(packets.column("runs"), RUN_TYPE)
+        leads, lead = first_of_equal(runs)
+        links = links_of(runs, lead, words)
+        linked, data = by_bucket(links, links["row"].view(np.uint64), buckets)
+        links_data = packets.column("links").drop_null()
+        bucket = np.full(len(links_data), packets.column("bucket")[0].as_py(), np.int32)
+        n, m, kinds = len(linked) + len(links_data), len(leads), runs[leads]
+        columns = {"signature": kinds["signature"].view(np.int64), "block": kinds["block"], "row": kinds["row"], "first": kinds["first"],
+                   "last": kinds["first"] + kinds["span"], "root": kinds["root"]}
+        out = {c: pa.chunked_array([pa.nulls(n, pa.array(v[:0]).type), pa.array(np.ascontiguousarray(v))]) for c, v in columns.items()}
+        out["bucket"] = pa.chunked_array([pa.array(linked), pa.array(bucket), pa.nulls(m, pa.int32())])
+        out["links"] = pa.chunked_array([data, *links_data.chunks, pa.nulls(m, pa.binary())], pa.binary())
+        return pa.table(out)
+
+    packets = rows.select("block", "row", "text").groupBy("block").cogroup(met.groupBy("block")).applyInArrow(
+        cut, "bucket int, runs binary, links binary")
+    return staged(packets.groupBy("bucket").applyInArrow(lead_out, f"{RUNS}, {PACKETS}"))
+
+
+def content_key(runs: np.ndarray) -> np.ndarray:
+    """A number for the signature, ends and length of each run."""
+    return mixed(runs["head"] + mixed(runs["tail"] + mixed(runs["signature"], 1), 2) + runs["span"].astype(np.uint64), 3)
+
+
+def first_of_equal(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which runs are the first, by row and place, of those with their signature, ends and length; and each run's first."""
+    order = np.lexsort((runs["first"], runs["row"], content_key(runs)))
+    new = np.ones(len(runs), bool)
+    same = [runs[c][order] for c in ("signature", "head", "tail", "span")]
+    new[1:] = reduce(np.logical_or, [v[1:] != v[:-1] for v in same])
+    leads, lead = order[new], np.empty(len(runs), np.int64)
+    lead[order] = leads[np.cumsum(new) - 1]
+    return leads, lead
+
+
+def links_of(runs: np.ndarray, lead: np.ndarray, words: int) -> np.ndarray:
+    """Links of runs with their first one, but where they overlap."""
+    far = (runs["row"] != runs["row"][lead]) | (np.abs(runs["first"] - runs["first"][lead]) >= words)
+    out = np.empty(int(far.sum()), LINK_TYPE)
+    out["row"], out["low"], out["high"] = runs["row"][far], runs["first"][far], runs["first"][far] + runs["span"][far]
+    out["to_row"], out["to_low"] = runs["row"][lead[far]], runs["first"][lead[far]]
+    return out
+
+
+def packed_links(links: DataFrame, buckets: int) -> DataFrame:
+    """Links as packets, by their row."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.empty(batch.num_rows, LINK_TYPE)
+            for c in LINK_TYPE.names:
+                out[c] = batch.column(c).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(v) if isinstance(v, np.ndarray) else v for v in by_bucket(out, out["row"].view(np.uint64), buckets)],
+                                             ["bucket", "links"])
+
+    return links.mapInArrow(pack, PACKETS)
+
+
+def merged_links(packets: DataFrame, words: int) -> DataFrame:
+    """Links that lead from one row to another by the same distance, taken together where they are at most `words` apart.
+
+    Windows so near each other are of one passage on either side, so passages and classes stay what they are.
+    """
+
+    def merge(group: pa.Table) -> pa.Table:
+        links = unpacked(group.column("links"), LINK_TYPE)
+        shift = links["to_low"] - links["low"]
+        order = np.lexsort((links["low"], shift, links["to_row"], links["row"]))
+        links, shift = links[order], shift[order]
+        other = np.ones(len(links), bool)
+        other[1:] = (links["row"][1:] != links["row"][:-1]) | (links["to_row"][1:] != links["to_row"][:-1]) | (shift[1:] != shift[:-1])
+        base = np.cumsum(other) << 32  # the furthest end so far within the rows and distance
+        reach = np.maximum.accumulate(base + links["high"]) - base
+        new = other.copy()
+        new[1:] |= links["low"][1:] - reach[:-1] > words
+        at = np.flatnonzero(new)
+        out = links[at]
+        return pa.table({"row": out["row"], "low": out["low"], "high": reach[np.append(at[1:], len(links)) - 1].astype(np.int32),
+                         "to_row": out["to_row"], "to_low": out["to_low"]})
+
+    return packets.groupBy("bucket").applyInArrow(merge, LINK)
 
 
 def contents(rows: DataFrame, runs: DataFrame, width: int, size: int) -> DataFrame:
-    """`runs` with their shingle hashes, 32 bits each, from the first window to the end of the last."""
-    place = F.struct("signature", "first", "last", "root")
-    slot = F.floor(F.col("first") / 65536)  # a row per stretch of a text, so no list is as long as a text is
-    wanted = runs.groupBy("row", slot.alias("slot")).agg(F.collect_list(place).alias("places"))
+    """`runs` with their shingle hashes, 32 bits each, from the first window to the end of the last.
+
+    Staged by place, so runs that overlap stand together and compress to little.
+    """
     names = [c.split()[0] for c in CONTENT.split(", ")]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, lists = batch.column("row").to_numpy(), batch.column("places")
-            data, offsets = utf8(batch.column("text"))
-            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            flat = lists.flatten()
-            sign, first, last, root = (flat.field(c).to_numpy() for c in ("signature", "first", "last", "root"))
-            for x, y in text_ranges(offsets, 4 << 20):
-                hashes, of, _ = shingles(data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x], width)
-                begin = np.searchsorted(of, np.arange(y - x), "left")
-                codes = hashes.astype("<u4")
-                for p in range(int(ends[x]), int(ends[y]), 8192):
-                    at = slice(p, min(p + 8192, int(ends[y])))
-                    text = np.searchsorted(ends, np.arange(at.start, at.stop), "right") - 1
-                    low = begin[text - x] + first[at]
-                    parts = [codes[v:w].tobytes() for v, w in zip(low.tolist(), (low + last[at] - first[at] + size).tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sign[at]), pa.array(keys[text]), *(pa.array(v[at].astype(np.int32)) for v in (first, last, root)),
-                         pa.array(parts, pa.binary())], names)
+    def cut(texts: pa.Table, runs: pa.Table) -> pa.Table:
+        if not texts.num_rows or not runs.num_rows:
+            return pa.table({c: pa.nulls(0, pa.binary() if c == "content" else pa.int64() if c in ("signature", "block", "row", "k") else pa.int32()) for c in names})
+        runs = runs.sort_by([("row", "ascending"), ("first", "ascending")])
+        keys = texts.column("row").to_numpy()
+        parts = [(x + of, hashes.astype("<u4")) for x, hashes, of, _ in pieces(*utf8(texts.column("text").combine_chunks()), 0, len(keys), width)]
+        of, codes = (np.concatenate(v) for v in zip(*parts, strict=True))
+        order = np.argsort(keys)
+        text = order[np.searchsorted(keys, runs.column("row").to_numpy(), sorter=order)]
+        first, last = (runs.column(c).to_numpy() for c in ("first", "last"))
+        low = np.searchsorted(of, np.arange(len(keys)), "left")[text] + first
+        parts = [codes[v:w].tobytes() for v, w in zip(low.tolist(), (low + last - first + size).tolist(), strict=True)]
+        return runs.select(names[:-1]).append_column("content", pa.array(parts, pa.binary()))
 
-    return rows.join(wanted, "row").select("row", "places", "text").mapInArrow(cut, CONTENT)
+    return staged(rows.select("block", "row", "text").groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(cut, CONTENT))
 
 
 def jaccard(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -243,16 +387,17 @@ def alike_ranges(codes: np.ndarray, base: np.ndarray, first: np.ndarray, last: n
     starts = np.cumsum(number) - number
     total = int(number.sum())
     good = np.zeros(total, bool)
-    width = np.arange(size)
-    for x in range(0, total, 1 << 15):
-        flat = np.arange(x, min(x + (1 << 15), total))
+    if not total:
+        return number[:0], number[:0], number[:0]
+    whole, windows = window_hashes(mixed(codes.astype(np.uint64), 0), size), np.lib.stride_tricks.sliding_window_view(codes, size)
+    for x in range(0, total, 1 << 12):
+        flat = np.arange(x, min(x + (1 << 12), total))
         pair = np.searchsorted(starts, flat, "right") - 1
         place = low[pair] + flat - starts[pair]
         i = base[a[pair]] + place - first[a[pair]]
         j = base[b[pair]] + place - shift[pair] - first[b[pair]]
-        one, two = codes[i[:, None] + width], codes[j[:, None] + width]
-        same = (one == two).all(1)
-        same[~same] = jaccard(one[~same], two[~same]) >= similarity - 1e-12
+        same = whole[i] == whole[j]
+        same[~same] = jaccard(windows[i[~same]], windows[j[~same]]) >= similarity - 1e-12
         good[flat] = same
     at = np.flatnonzero(good)
     pair = np.searchsorted(starts, at, "right") - 1
@@ -370,7 +515,19 @@ def _with_end(batches: Iterator[pa.RecordBatch]):
     yield None
 
 
-def crowd_links(runs: DataFrame, words: int, size: int, similarity: float) -> DataFrame:
+def counted(key: np.ndarray, n: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number in the table of each key, and the table: different keys with the sum of `n` and the smallest `least`."""
+    order = np.argsort(key, kind="stable")
+    new = np.append(True, key[order][1:] != key[order][:-1])[:len(key)]
+    at = np.flatnonzero(new)
+    out, of = np.empty(len(at), COUNT_TYPE), np.empty(len(key), np.int64)
+    of[order] = np.cumsum(new) - 1
+    if len(at):
+        out["key"], out["n"], out["least"] = key[order[at]], np.add.reduceat(n[order], at), np.minimum.reduceat(least[order], at)
+    return of, out
+
+
+def crowd_links(runs: DataFrame, words: int, size: int, similarity: float, buckets: int) -> DataFrame:
     """Links between the runs of crowded signatures: whatever all similar pairs connect, without putting all side by side.
 
     Two windows that are similar share one of their rarest shingles, by how many runs of the signature have them, within as many as
@@ -381,21 +538,37 @@ def crowd_links(runs: DataFrame, words: int, size: int, similarity: float) -> Da
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                of, kinds, least = run_tokens(*_codes(batch.column("content")), size)
-                own = [batch.column(c).take(pa.array(of)) for c in ("signature", "run")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(kinds), pa.array(least[of])], ["signature", "run", "token", "least"])
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                lists = batch.column("tokens")
-                flat = lists.flatten()
-                known = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
-                of, kinds = rare_tokens(*_codes(batch.column("content")), known, *(flat.field(c).to_numpy() for c in ("token", "n", "least")),
-                                        size, similarity)
-                own = [batch.column(c).take(pa.array(of)) for c in ("signature", "run")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(kinds)], ["signature", "run", "token"])
+            block = batch.column("block").to_numpy()
+            bounds = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
+            for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if x < y:
+                    _, _, key, least = keyed_tokens(batch.slice(x, y - x))
+                    found, data = by_bucket(counts := counted(key, np.ones(len(key), np.int32), least)[1], counts["key"], buckets)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), block[x])), data], ["bucket", "block", "counts"])
+
+    def keyed_tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        of, kinds, least = run_tokens(*_codes(part.column("content")), size)
+        return of, kinds, mixed(part.column("signature").to_numpy().view(np.uint64)[of] + mixed(kinds.astype(np.uint64), 5), 6), least[of].astype(np.int32)
+
+    def summed(packets: pa.Table) -> pa.Table:
+        own = unpacked(packets.column("counts"), COUNT_TYPE)
+        of, total = counted(own["key"], own["n"], own["least"])
+        out = pa.table({"block": packets.column("block"), "counts": only(packets.column("counts"), total[of], total["n"][of] > 1)})
+        return out.filter(pc.greater(pc.binary_length(out.column("counts")), 0))
+
+    def rare(own: pa.Table, counts: pa.Table) -> pa.Table:
+        known = unpacked(counts.column("counts"), COUNT_TYPE)
+        known = np.concatenate([known[np.unique(known["key"], return_index=True)[1]], np.array([(2**64 - 1, 1, size)], COUNT_TYPE)])
+        parts = [pa.table({c: pa.nulls(0, pa.int32() if c == "first" else pa.int64()) for c in ("signature", "row", "first", "run", "token")})]
+        for x in range(0, own.num_rows, 8192):
+            part = own.slice(x, 8192).combine_chunks().to_batches()[0]
+            of, kinds, key, least = keyed_tokens(part)
+            at = np.searchsorted(known["key"][:-1], key)
+            met = known["key"][at] == key
+            n, least = np.where(met, known["n"][at], 1), np.where(met, known["least"][at], least)
+            of, kinds = rare_tokens(*_codes(part.column("content")), of, kinds, n, least, size, similarity)
+            parts.append(pa.table({c: part.column(c).take(pa.array(of)) for c in ("signature", "row", "first", "run")} | {"token": kinds}))
+        return pa.concat_tables(parts)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -412,25 +585,25 @@ def crowd_links(runs: DataFrame, words: int, size: int, similarity: float) -> Da
         near = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
         return staged(near.mapInArrow(compare, f"a long, b long, {LINK}"))
 
-    every = staged(runs.select("signature", "run", "content").mapInArrow(tokens, "signature long, run long, token long, least long"))
-    counts = every.groupBy("signature", "token").agg(F.count("*").alias("n"), F.min("least").alias("least"))
-    lists = every.drop("least").join(counts.hint("merge"), ["signature", "token"]).groupBy("run").agg(
-        F.collect_list(F.struct("token", "n", "least")).alias("tokens"))
+    # Counts go to a shingle's bucket as packets, and totals back to the block of the runs.
+    totals = runs.select("signature", "block", "content").mapInArrow(tokens, "bucket int, block long, counts binary").groupBy("bucket").applyInArrow(
+        summed, "block long, counts binary")
     key = ["signature", "token"]
-    prefixes = staged(runs.select("run", "signature", "content").join(lists, "run").mapInArrow(rare, "signature long, run long, token long"))
-    sizes = prefixes.groupBy(*key).agg(F.count("*").alias("n"), F.min("run").alias("lead")).where("n > 1")
-    members = staged(prefixes.join(sizes.hint("merge"), key))
+    prefixes = staged(runs.select("block", "signature", "row", "first", "run", "content").groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
+        rare, "signature long, row long, first int, run long, token long"))
+    sizes = prefixes.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "run")).alias("lead")).where("n > 1")
+    members = staged(prefixes.join(sizes.hint("merge"), key).select(*key, "run", "n", F.col("lead.run").alias("lead")))
     small, crowd = members.where(F.col("n") <= GROUP), members.where(F.col("n") > GROUP)
     other = small.select(*key, F.col("run").alias("b"))
     found = verified(small.select(*key, F.col("run").alias("a")).join(other, key).where("a > b").select("a", "b").union(
-        crowd.where("run > lead").select(F.col("run").alias("a"), F.col("lead").alias("b"))))
+        crowd.where("run <> lead").select(F.col("run").alias("a"), F.col("lead").alias("b"))))
     label = components(found.select("a", "b"))
     left = staged(crowd.join(label.hint("merge"), crowd["run"] == label["node"], "left").select(
         *key, "run", F.coalesce("root", "run").alias("label")))
     other = left.select(*key, F.col("run").alias("b"), F.col("label").alias("other"))
     more = verified(left.join(other, key).where("run > b AND label <> other").select(F.col("run").alias("a"), "b"))
     out = staged(found.union(more).drop("a", "b"))
-    for old in (runs, every, prefixes, members, found, label, left, more):
+    for old in (runs, prefixes, members, found, label, left, more):
         discard(old)
     return out
 
@@ -463,24 +636,28 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     counts, unless its copies overlap. Ids may be null or repeat: rows are told apart by number. An empty table
     gives an empty result, and other columns are not looked at.
     """
-    rows = numbered(docs.select(F.col(doc_id).alias("id"), text_or_empty(text).alias("text")))
-    size, parts, waiting = words - width + 1, [], []
-    for pair in range(0, signatures, AT_ONCE):
-        links, runs = shared_runs(rows, range(pair, min(pair + AT_ONCE, signatures)), width, words)
-        parts.append(links)
-        waiting.append(runs)
-        if len(waiting) * AT_ONCE >= COMPARED or pair + AT_ONCE >= signatures:
-            several = reduce(DataFrame.union, waiting)
-            parts.append(staged(few_links(contents(rows, several.where(F.col("k") <= GROUP), width, size), words, size, similarity)))
-            crowded = several.where(F.col("k") > GROUP)
-            if not crowded.isEmpty():
-                parts.append(crowd_links(contents(rows, crowded, width, size), words, size, similarity))
-            for old in waiting:
-                discard(old)
-            waiting = []
-    found = staged(reduce(DataFrame.union, parts).distinct())
-    for old in parts:
-        discard(old)
+    rows = blocks_of(docs.select(F.col(doc_id).alias("id"), text_or_empty(text).alias("text")))
+    size, spark = words - width + 1, docs.sparkSession
+    # 16 MB of texts a bucket: some 20 MB of signatures.
+    buckets = max(min(int(spark.conf.get("spark.sql.shuffle.partitions")), 256), rows.select("block").distinct().count() // 4)
+    met = met_signatures(rows, width, size, signatures, buckets)
+    shared = shared_runs(rows, met, width, words, signatures, buckets)
+    discard(met)
+    kinds = shared.where("links IS NULL").drop("bucket", "links")
+    several = kinds.groupBy("signature").agg(F.count("*").alias("k")).where("k > 1")
+    runs = staged(kinds.join(several.hint("merge"), "signature"))
+    filled = contents(rows, runs, width, size)
+    discard(runs)
+    few = staged(packed_links(few_links(filled.where(F.col("k") <= GROUP).drop("block", "k"), words, size, similarity), buckets))
+    parts = [shared.where("links IS NOT NULL").select("bucket", "links"), few]
+    crowd, crowded = None, filled.where(F.col("k") > GROUP).drop("k")
+    if not crowded.isEmpty():
+        crowd = crowd_links(crowded, words, size, similarity, buckets)
+        parts.append(packed_links(crowd, buckets))
+    found = staged(merged_links(reduce(DataFrame.union, parts), words))
+    for old in (shared, filled, few, crowd):
+        if old is not None:
+            discard(old)
     end = F.col("to_low") + F.col("high") - F.col("low")
     both = found.select("row", F.col("low").alias("first"), F.col("high").alias("last")).union(
         found.select("to_row", "to_low", end)).groupBy("row", "first").agg(F.max("last").alias("last"))

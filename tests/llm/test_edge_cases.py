@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -441,3 +442,56 @@ def test_passages_around_a_common_line(spark, changed):
     for r in substring.repeated_passages(df).collect():
         classes.setdefault(r.class_id, set()).add(r.doc_id)
     assert sorted(classes.values(), key=min) == [{2 * i, 2 * i + 1} for i in range(40)]
+
+
+def test_only_signatures_that_are_met_again_travel_and_a_long_copy_is_one_link(spark):
+    rng = np.random.default_rng(12)
+
+    def text(n):
+        return " ".join(f"w{i}" for i in rng.integers(0, 10**9, n))
+
+    copy = text(2000)
+    alone = substring.blocks_of(spark.createDataFrame([(i, text(300)) for i in range(30)], "id long, text string"))
+    assert substring.met_signatures(alone, 5, 46, 8, 3).count() == 0
+    rows = substring.blocks_of(spark.createDataFrame([(1, text(300)), (2, copy), (3, text(300)), (4, copy)], "id long, text string"))
+    met = substring.met_signatures(rows, 5, 46, 8, 3)
+    shared = substring.shared_runs(rows, met, 5, 50, 8, 3)
+    links = substring.merged_links(shared.where("links IS NOT NULL").select("bucket", "links"), 50).collect()
+    ids = {r.row: r.id for r in rows.collect()}
+    assert [({ids[r.row], ids[r.to_row]}, r.low, r.high, r.to_low) for r in links] == [({2, 4}, 0, 1950, 0)]
+
+
+def test_packets_keep_every_value():
+    rng = np.random.default_rng(13)
+    key, n, least = rng.integers(0, 50, 400).astype(np.uint64), rng.integers(1, 9, 400).astype(np.int32), rng.integers(1, 40, 400).astype(np.int32)
+    of, table = substring.counted(key, n, least)
+    assert (table["key"][of] == key).all() and len(set(table["key"].tolist())) == len(table)
+    assert all((r["n"], r["least"]) == (n[key == r["key"]].sum(), least[key == r["key"]].min()) for r in table)
+    found, data = substring.by_bucket(key, key, 7)
+    column = pa.chunked_array([data])
+    values = substring.unpacked(column, np.dtype("<u8"))
+    assert found.tolist() == list(range(7)) and sorted(values.tolist()) == sorted(key.tolist())
+    assert all((np.frombuffer(p, "<u8") % 7 == b).all() for b, p in zip(found, data.to_pylist()))
+    kept = substring.only(column, values, values > 20).to_pylist()
+    assert kept == [v[v > 20].tobytes() for v in (np.frombuffer(p, "<u8") for p in data.to_pylist())]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merged_links_cover_the_same_passages(spark, seed):
+    rng = np.random.default_rng(seed)
+    links = np.empty(300, substring.LINK_TYPE)
+    links["row"], links["to_row"], links["low"] = rng.integers(0, 3, 300), rng.integers(3, 5, 300), rng.integers(0, 900, 300)
+    links["high"], links["to_low"] = links["low"] + rng.integers(0, 30, 300), links["low"] + rng.integers(0, 2, 300) * 7
+    df = spark.createDataFrame([tuple(r) for r in links.tolist()], "row long, to_row long, low int, high int, to_low int")
+    want = set()
+    for key in {(a, b, e - c) for a, b, c, _, e in links.tolist()}:
+        own = sorted((c, d) for a, b, c, d, e in links.tolist() if (a, b, e - c) == key)
+        low, high = own[0]
+        for c, d in own[1:]:
+            if c - high > 50:
+                want.add((key[0], low, high, key[1], low + key[2]))
+                low, high = c, d
+            high = max(high, d)
+        want.add((key[0], low, high, key[1], low + key[2]))
+    got = [(r.row, r.low, r.high, r.to_row, r.to_low) for r in substring.merged_links(substring.packed_links(df, 4), 50).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
